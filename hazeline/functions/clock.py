@@ -48,8 +48,13 @@ def document_time(ts: Column) -> Column:
 
 def ingest_text(ts: Column) -> Column:
     """``yyyyMMddTHHmmssZ``."""
-    to_second = F.substring(ts.cast("string"), 1, 19)
-    return F.concat(F.translate(to_second, " -:", "T"), F.lit("Z"))
+    day = F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)
+    time = F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)
+    return F.concat(_digits(day, 8), F.lit("T"), _digits(time, 6), F.lit("Z"))
+
+
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
 
 
 def ingest_instant(text: Column) -> Column:

@@ -20,13 +20,19 @@ def whole(value: Column) -> Column:
 def exact_mean(value: Column) -> Column:
     """Mean without nulls and NaN that does not depend on the order rows arrive in.
 
-    Doubles are added up as decimals: a sum of doubles shifts by a few last bits with the
-    order of partial sums, enough to flip a rounded tie between two runs.
+    A sum of doubles shifts by a few last bits with the order of partial sums, enough to flip a
+    rounded tie between two runs. So values are added up as whole millionths. They are split in
+    two at bit 20, which leaves room for some 10^12 rows a group where one sum of longs would
+    overflow; decimals would do too but take ten times as long.
     """
     number = value.cast("double")
     number = F.when(~F.isnan(number), number)
+    millionths = F.rint(number * F.lit(1e6)).cast("bigint")
+    high = F.sum(F.shiftright(millionths, 20)).cast("decimal(19,0)")
+    low = F.sum(millionths.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(19,0)")
+    total = high * F.lit(1 << 20).cast("decimal(7,0)") + low
     count = F.nullif(F.count(number), F.lit(0))
-    return F.sum(number.cast("decimal(18,6)")).cast("double") / count
+    return (total * F.lit("0.000001").cast("decimal(6,6)")).cast("double") / count
 
 
 def fixed(value: Column, digits: int) -> Column:

@@ -44,12 +44,17 @@ def explode_hourly(docs: DataFrame, dataset: Dataset, carry: Sequence[str] = ())
 
 
 def standardize(rows: DataFrame, dataset: Dataset, carry: Sequence[str] = ()) -> DataFrame:
-    """Exploded rows with their date, ingest time and source system, in silver column order."""
+    """Exploded rows with their date, ingest time and source system, in silver column order.
+
+    The ingest time is read off the file name unless the rows already bring it along.
+    """
+    known = INGEST_TOKEN in rows.columns
+    token = F.col(INGEST_TOKEN) if known else ingest_token(F.col(FILE)).alias(INGEST_TOKEN)
     return rows.select(
         HOUR,
         F.col(HOUR).cast("date").alias(DATE),
         *dataset.metric_columns,
-        ingest_token(F.col(FILE)).alias(INGEST_TOKEN),
+        token,
         F.lit(dataset.source_system).alias("source_system"),
         "latitude",
         "longitude",

@@ -90,43 +90,42 @@ def hourly_gaps(df: DataFrame, hour: str = HOUR, keys: Sequence[str] = ()) -> Da
     calendar, however many rows there are. An hour that occurs n times is reported n - 1 times
     against itself.
     """
-    previous = f"previous_{hour}"
     names = [*keys, hour]
+    on_date = Window.partitionBy(*keys, "_day")
+    dates = Window.partitionBy(*keys).orderBy("_day")
     hours = (
         df.where(F.col(hour).isNotNull())
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_day", F.col(hour).cast("date"))
+        .withColumn("_before", F.lag(hour).over(on_date.orderBy(hour)))
+        .withColumn("_last", F.max(hour).over(on_date))
     )
-    in_day = Window.partitionBy(*keys, "_day").orderBy(hour)
-    by_day = Window.partitionBy(*keys).orderBy("_day")
-    within = hours.select(*names, F.lag(hour).over(in_day).alias(previous))
-    across = (
-        hours.groupBy(*keys, "_day")
-        .agg(F.min(hour).alias(hour), F.max(hour).alias("_last"))
-        .select(*names, F.lag("_last").over(by_day).alias(previous))
+    later = hours.where(F.col("_before").isNotNull())
+    first = hours.where(F.col("_before").isNull()).withColumn("_before", F.lag("_last").over(dates))
+    jump = hour_floor(F.col(hour)) - hour_floor(F.col("_before"))
+    found = (
+        later.unionByName(first)
+        .withColumn("_gap", F.coalesce(jump != F.lit(timedelta(hours=1)), F.lit(False)))
+        .where(F.col("_gap") | (F.col("_n") > 1))
     )
-    an_hour = F.lit(timedelta(hours=1))
-    gaps = within.unionByName(across).where(
-        F.col(previous).isNotNull()
-        & (hour_floor(F.col(hour)) - hour_floor(F.col(previous)) != an_hour)
-    )
-    return gaps.unionByName(_repeats(hours, names, hour, previous))
+    return _spelled_out(found, names, hour)
 
 
-def _repeats(hours: DataFrame, names: Sequence[str], hour: str, previous: str) -> DataFrame:
-    """Each repeated hour against itself, once per extra row, spread over many tasks."""
-    extra = F.col("_n") - 1
-    chunk = F.lit(REPEAT_CHUNK)
-    chunks = hours.where(F.col("_n") > 1).select(
-        *names, extra.alias("_extra"), F.explode(F.sequence(F.lit(0), F.floor((extra - 1) / chunk))).alias("_c")
-    )
-    size = F.least(chunk, F.col("_extra") - F.col("_c") * chunk)
+def _spelled_out(found: DataFrame, names: Sequence[str], hour: str) -> DataFrame:
+    """One row per gap and per repeat. Repeats are put out in chunks that spread over tasks."""
+    repeats, chunk, step = F.col("_n") - 1, F.lit(REPEAT_CHUNK), F.col("_chunk")
+    chunks = F.floor(F.greatest(repeats - 1, F.lit(0)) / chunk)
+    size = F.least(chunk, repeats - step * chunk).cast("int")
+    none = F.array_repeat(F.col(hour), F.lit(0))
+    gap = F.when((step == 0) & F.col("_gap"), F.array("_before")).otherwise(none)
+    pairs = F.concat(gap, F.array_repeat(F.col(hour), size))
     return (
-        chunks.withColumn("_size", size.cast("int"))
-        .repartition(*names, "_c")
-        .select(*names, F.col(hour).alias(previous), F.explode(F.sequence(F.lit(1), F.col("_size"))))
-        .select(*names, previous)
+        found.select(
+            *names, "_n", "_gap", "_before", F.explode(F.sequence(F.lit(0), chunks)).alias("_chunk")
+        )
+        .repartition(*names, "_chunk")
+        .select(*names, F.explode(pairs).alias(f"previous_{hour}"))
     )
 
 

@@ -6,6 +6,8 @@ passes all of them is ``ok``; anything else belongs in quarantine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +17,19 @@ OK = "ok"
 
 
 def with_verdict(docs: DataFrame, dataset: Dataset, payload: str = "payload") -> DataFrame:
-    """``docs`` with ``verdict`` and ``detail`` (null for good documents)."""
-    return (
-        docs.withColumn("_hourly", _hourly_arrays(F.col(payload)))
-        .withColumn("_verdict", _verdict(F.col("_hourly"), F.col(payload), dataset))
-        .select(
-            *docs.columns,
-            F.col("_verdict.verdict").alias("verdict"),
-            F.col("_verdict.detail").alias("detail"),
-        )
+    """``docs`` with ``verdict`` and ``detail`` (null for good documents).
+
+    The verdict comes out of a generator over a one-element array. That parses a document once: as
+    a plain column, a later filter on it would be pushed below and parse the document again.
+    """
+    text = F.col(payload)
+    verdict = _bind(
+        _hourly_arrays(text),
+        lambda hourly: _bind(
+            _lengths(hourly), lambda lengths: _verdict(hourly, lengths, text, dataset)
+        )[0],
     )
+    return docs.select("*", F.inline(verdict))
 
 
 def valid_documents(docs: DataFrame, dataset: Dataset, payload: str = "payload") -> DataFrame:
@@ -42,7 +47,18 @@ def _hourly_arrays(payload: Column) -> Column:
     return F.from_json(payload, "hourly map<string, array<string>>")["hourly"]
 
 
-def _verdict(hourly: Column, payload: Column, dataset: Dataset) -> Column:
+def _lengths(hourly: Column) -> Column:
+    # An array spelled null stands for a column of nulls and fits any length.
+    given = F.filter(F.map_values(hourly), lambda a: a.isNotNull())
+    return F.transform(given, lambda a: F.size(a))
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """One-element array of ``use(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), use)
+
+
+def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset) -> Column:
     section = F.get_json_object(payload, "$.hourly")
     # JSON texts of a section that is there but holds nothing.
     blank = ("{}", "[]", "", "0", "false")
@@ -52,10 +68,6 @@ def _verdict(hourly: Column, payload: Column, dataset: Dataset) -> Column:
     unreadable = hourly.isNull() & ~F.startswith(
         F.coalesce(F.get_json_object(payload, "$"), F.lit("")), F.lit("{")
     )
-    # An array spelled null stands for a column of nulls and fits any length.
-    lengths = F.transform(
-        F.filter(F.map_values(hourly), lambda a: a.isNotNull()), lambda a: F.size(a)
-    )
     uneven = hourly.isNull() | (F.size(lengths) == 0) | (F.array_min(lengths) != F.array_max(lengths))
 
     required = F.array(*[F.lit(f) for f in dataset.required_fields])

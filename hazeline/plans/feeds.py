@@ -8,6 +8,8 @@ does not depend on the data.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,9 +70,8 @@ def documents(events: DataFrame, dataset: Dataset, defects: bool = False) -> Dat
     null readings, 5 empty arrays, 6 to 9 nothing.
     """
     digit = F.col("user_id") % 10 if defects else F.lit(9)
-    start = hour_floor(F.col("ts"))
     times = F.array(
-        *[document_time(start + F.make_dt_interval(hours=F.lit(i))) for i in range(HOURS)]
+        *[document_time(F.col("_start") + F.lit(timedelta(hours=i))) for i in range(HOURS)]
     )
     times = F.when(
         digit == 3, F.concat(F.array(F.lit("not-a-timestamp")), F.slice(times, 2, HOURS))
@@ -87,7 +88,8 @@ def documents(events: DataFrame, dataset: Dataset, defects: bool = False) -> Dat
             hourly.alias("hourly"),
         )
     )
-    return events_of(events, dataset).select(
+    started = events_of(events, dataset).withColumn("_start", hour_floor(F.col("ts")))
+    return started.select(
         object_path(F.col("ts"), dataset.name, FILE_PREFIX).alias(FILE),
         payload.alias("payload"),
         F.col("ts").alias("landed_at_utc"),

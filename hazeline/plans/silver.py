@@ -5,16 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from hazeline.functions.paths import ingest_token
 from hazeline.operators.explode import explode_hourly, standardize
 from hazeline.operators.validation import valid_documents
 from hazeline.sources.bronze import parse_documents
-from hazeline.specs import AQI, FILE, WEATHER, Dataset
+from hazeline.specs import AQI, FILE, INGEST_TOKEN, WEATHER, Dataset
 
 
 def silver(docs: DataFrame, dataset: Dataset, carry: Sequence[str] = ()) -> DataFrame:
-    """Typed rows of parsed documents: one per document and hour."""
-    return standardize(explode_hourly(docs, dataset, carry), dataset, carry)
+    """Typed rows of parsed documents: one per document and hour.
+
+    The file name is taken apart once per document, before it is opened into hours.
+    """
+    docs = docs.withColumn(INGEST_TOKEN, ingest_token(F.col(FILE)))
+    return standardize(explode_hourly(docs, dataset, (INGEST_TOKEN, *carry)), dataset, carry)
 
 
 def silver_aqi(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
