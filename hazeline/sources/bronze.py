@@ -78,9 +78,15 @@ def parse_documents(landed: DataFrame, dataset: Dataset) -> DataFrame:
 
     Give it documents that passed validation.
     """
-    document = F.from_json(F.col("payload"), dataset.document_schema, {"mode": "FAILFAST"})
+    schema = T.StructType([*dataset.document_schema, T.StructField("_bad", T.StringType())])
+    document = F.from_json(F.col("payload"), schema, {"columnNameOfCorruptRecord": "_bad"})
+    doc = F.col("_doc")
+    misfit = F.raise_error(F.concat(F.lit("document does not fit its schema: "), F.col(FILE)))
+    hourly = F.when(doc.isNull() | doc["_bad"].isNotNull(), misfit).otherwise(doc["hourly"])
     kept = [c for c in landed.columns if c != "payload"]
-    return landed.withColumn("_doc", document).select(*kept, "_doc.*")
+    return landed.withColumn("_doc", document).select(
+        *kept, doc["latitude"].alias("latitude"), doc["longitude"].alias("longitude"), hourly.alias("hourly")
+    )
 
 
 def read_document_tree(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
@@ -95,7 +101,7 @@ def read_document_tree(spark: SparkSession, root: str, dataset: Dataset) -> Data
 
 def read_document_texts(spark: SparkSession, root: str) -> DataFrame:
     """Whole files of a JSON tree as ``payload`` text, for validation and landing."""
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(root)
+    texts = spark.read.option("pathGlobFilter", "*.json").text(root, wholetext=True)
     return texts.withColumnRenamed("value", "payload").withColumn(FILE, F.col("_metadata.file_path"))
 
 

@@ -12,11 +12,11 @@ from hazeline.specs import Dataset
 
 
 def landing_stream(
-    spark: SparkSession, root: str, dataset: Dataset, max_bytes: str | None = None
+    spark: SparkSession, root: str, dataset: Dataset, max_bytes: int | None = None
 ) -> DataFrame:
     """New documents of one feed. ``max_bytes`` bounds what one micro-batch takes in."""
     reader = spark.readStream.schema(LANDING_SCHEMA)
-    if max_bytes:
+    if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(root).where(F.col("dataset") == dataset.name)
 
@@ -27,7 +27,7 @@ def stream_silver(
     target: str,
     checkpoint: str,
     dataset: Dataset,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Append silver rows of new, valid documents to ``target`` and stop when caught up.
 
