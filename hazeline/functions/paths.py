@@ -11,12 +11,17 @@ from hazeline.specs import dataset as find_dataset
 
 def object_path(ingested_at: Column, dataset: str, file_prefix: str | None = None) -> Column:
     """``raw/<dataset>/ingest_date=<day>/<prefix>_<ingest text>.json`` of a zone-less UTC time."""
+    return path_of(ingested_at.cast("date"), ingest_text(ingested_at), dataset, file_prefix)
+
+
+def path_of(day: Column, token: Column, dataset: str, file_prefix: str | None = None) -> Column:
+    """Object path of an ingest date and an ingest text."""
     prefix = file_prefix or find_dataset(dataset).file_prefix
     return F.concat(
         F.lit(f"raw/{dataset}/ingest_date="),
-        ingested_at.cast("date").cast("string"),
+        day.cast("string"),
         F.lit(f"/{prefix}_"),
-        ingest_text(ingested_at),
+        token,
         F.lit(".json"),
     )
 

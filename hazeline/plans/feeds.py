@@ -13,9 +13,9 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.clock import document_time, hour_floor
+from hazeline.functions.clock import document_time, hour_floor, ingest_text
 from hazeline.functions.numbers import whole
-from hazeline.functions.paths import ingest_token, object_path
+from hazeline.functions.paths import object_path, path_of
 from hazeline.specs import AQI, DATE, FILE, HOUR, INGEST_TOKEN, WEATHER, Dataset
 
 FILE_PREFIX = "feed_raw"
@@ -41,23 +41,21 @@ def events_of(events: DataFrame, dataset: Dataset) -> DataFrame:
 
 def feed(events: DataFrame, dataset: Dataset) -> DataFrame:
     """Silver rows of one feed: one per event, with the event and user it came from."""
-    value, hour = F.col("value"), hour_floor(F.col("ts"))
-    rows = events_of(events, dataset).withColumn(
-        FILE, object_path(F.col("ts"), dataset.name, FILE_PREFIX)
-    )
+    value, day = F.col("value"), F.col("ts").cast("date")
     readings = [
         (whole if r.type == "int" else lambda c: c)(SCALES[r.field](value)).alias(r.column)
         for r in dataset.readings
     ]
+    rows = events_of(events, dataset).withColumn(INGEST_TOKEN, ingest_text(F.col("ts")))
     return rows.select(
-        hour.alias(HOUR),
-        hour.cast("date").alias(DATE),
+        hour_floor(F.col("ts")).alias(HOUR),
+        day.alias(DATE),
         *readings,
-        ingest_token(F.col(FILE)).alias(INGEST_TOKEN),
+        INGEST_TOKEN,
         F.lit(dataset.source_system).alias("source_system"),
         F.lit(LATITUDE).alias("latitude"),
         F.lit(LONGITUDE).alias("longitude"),
-        FILE,
+        path_of(day, F.col(INGEST_TOKEN), dataset.name, FILE_PREFIX).alias(FILE),
         *KEPT,
     )
 

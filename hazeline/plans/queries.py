@@ -19,7 +19,7 @@ from hazeline.operators.versions import latest_version, newest_first, version_hi
 from hazeline.plans.feeds import FILE_PREFIX, documents, feed, ragged_documents
 from hazeline.plans.gold import gold_mart
 from hazeline.plans.silver import silver, silver_from_landing
-from hazeline.session import scratch_path
+from hazeline.session import cut_lineage, scratch_path
 from hazeline.sources.bronze import (
     land_documents,
     latest_landing,
@@ -246,7 +246,7 @@ def dq_hourly_gaps_by_user(spark, sf_dir):
 
 def dq_report(spark, sf_dir):
     # checked as stored, like in the build, so that it is computed once for all checks
-    gold = materialize_mart(spark, sf_dir)
+    gold = cut_lineage(mart(spark, sf_dir), "mart")
     return quality.dq_report(staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER), gold, aqi_max=AQI_MAX)
 
 
