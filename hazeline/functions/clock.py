@@ -43,7 +43,7 @@ def minute_text(ts: Column) -> Column:
 
 def document_time(ts: Column) -> Column:
     """``yyyy-MM-ddTHH:mm``, the way documents spell their hours."""
-    return F.translate(minute_text(ts), " ", "T")
+    return F.replace(minute_text(ts), F.lit(" "), F.lit("T"))
 
 
 def ingest_text(ts: Column) -> Column:

@@ -28,11 +28,15 @@ def exact_mean(value: Column) -> Column:
     number = value.cast("double")
     number = F.when(~F.isnan(number), number)
     millionths = F.rint(number * F.lit(1e6)).cast("bigint")
-    high = F.sum(F.shiftright(millionths, 20)).cast("decimal(19,0)")
-    low = F.sum(millionths.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(19,0)")
-    total = high * F.lit(1 << 20).cast("decimal(7,0)") + low
+    high = F.sum(F.shiftright(millionths, 20))
+    low = F.sum(millionths.bitwiseAND(F.lit((1 << 20) - 1)))
     count = F.nullif(F.count(number), F.lit(0))
-    return (total * F.lit("0.000001").cast("decimal(6,6)")).cast("double") / count
+    # below 2^53 a double holds the sum exactly; both ways give the same, correctly rounded total
+    small = (high * F.lit(1 << 20) + low).cast("double") / F.lit(1e6)
+    unit, millionth = F.lit(1 << 20).cast("decimal(7,0)"), F.lit("0.000001").cast("decimal(6,6)")
+    large = (high.cast("decimal(19,0)") * unit + low.cast("decimal(19,0)")) * millionth
+    fits = high.between(-(1 << 32), 1 << 32) & low.between(0, 1 << 52)
+    return F.when(fits, small).otherwise(large.cast("double")) / count
 
 
 def fixed(value: Column, digits: int) -> Column:

@@ -47,12 +47,14 @@ def single_date(hourly: DataFrame, day: date) -> DataFrame:
 
 
 def daily_summary(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Means (one decimal) and peak index per date, in date order. Rows without a date are left out."""
+    """Means (one decimal) and peak index per date. Rows without a date are left out.
+
+    Without keys the result is in date order; with keys it may be large and is not sorted.
+    """
     means = {name: half_even(exact_mean(F.col(c)), 1).alias(name) for name, c in DAILY_MEANS}
     columns = [means.pop("avg_aqi"), F.max("us_aqi").alias("max_aqi"), *means.values()]
-    return (
-        hourly.where(F.col(DATE).isNotNull()).groupBy(*keys, DATE).agg(*columns).orderBy(*keys, DATE)
-    )
+    daily = hourly.where(F.col(DATE).isNotNull()).groupBy(*keys, DATE).agg(*columns)
+    return daily if keys else daily.orderBy(DATE)
 
 
 def metric_options(hourly: DataFrame) -> DataFrame:

@@ -78,11 +78,12 @@ def version_history(
     is_hot = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names))
     cold = df.join(hot, is_hot, "left_anti").select("*", ranked)
 
+    # Copies that tie on every order column are told apart by where they lie in stored files. Read
+    # from a shuffle instead, a repeated task could number them differently and lose one.
+    stored = cut_lineage(df.join(hot, is_hot, "left_semi"), "hot-versions")
     slices = 1 + ceil(sum(r[-1] for r in hot_keys) / hot_key_rows)
     placed = cut_lineage(
-        df.join(hot, is_hot, "left_semi")
-        # copies that tie on every order column are told apart by where they lie
-        .withColumn("_row", F.monotonically_increasing_id())
+        stored.withColumn("_row", F.monotonically_increasing_id())
         .repartitionByRange(max(slices, 2), *keys, *order, "_row")
         .withColumn("_slice", F.spark_partition_id()),
         "version-slices",

@@ -207,6 +207,15 @@ def _scan(d: Dataset) -> str:
     from events where event_type in ({_types(d)})"""
 
 
+def _tree(d: Dataset) -> str:
+    last = SCALES[d.reading_fields[2]].format(v="value + 3")
+    return f"""
+    select '{d.name}' as dataset, cast(ts as date) as ingest_date,
+           cast({LATITUDE} as double) as latitude, cast({LONGITUDE} as double) as longitude,
+           strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M') as first_time, {last} as last_value
+    from events where event_type in ({_types(d)})"""
+
+
 # -- checks ---------------------------------------------------------------------------------------
 
 STAGED = ("forecast_timestamp_local", "ingest_time_utc", "source_system", "raw_file_name")
@@ -396,6 +405,14 @@ def _history(keys: str) -> str:
 ORACLE: dict[str, str] = {
     "bronze_object_path": f"select event_id, {_path(AQI)} as path from events",
     "bronze_scan": f"{_scan(AQI)} union all {_scan(WEATHER)}",
+    "bronze_tree_scan": f"{_tree(AQI)} union all {_tree(WEATHER)}",
+    "bronze_file_listing": _union(
+        [
+            f"select distinct '{d.name}' as dataset, strftime(ts, '%Y-%m-%d') as ingest_date "
+            f"from events where event_type in ({_types(d)})"
+            for d in (AQI, WEATHER)
+        ]
+    ),
     "bronze_listing": (
         f"select distinct {_path(WEATHER)} as raw_file_name from events "
         f"where event_type in ({_types(WEATHER)})"

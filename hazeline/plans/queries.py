@@ -23,8 +23,10 @@ from hazeline.session import cut_lineage, scratch_path
 from hazeline.sources.bronze import (
     land_documents,
     latest_landing,
+    list_files,
     list_objects,
     parse_documents,
+    read_document_tree,
     read_landing,
 )
 from hazeline.sources.tables import load_hourly, write_model
@@ -100,6 +102,42 @@ def bronze_scan(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def bronze_tree_scan(spark, sf_dir):
+    """The documents as JSON text files below ``ingest_date=`` folders, read by the JSON reader."""
+    root = scratch_path(spark, "tree")
+    parts = []
+    for d in (AQI, WEATHER):
+        lines = documents(events(spark, sf_dir), d).select("payload", "ingest_date")
+        by_date = lines.hint("rebalance", F.col("ingest_date")).write.partitionBy("ingest_date")
+        by_date.format("text").option("compression", "none").save(f"{root}/{d.name}")
+        docs = read_document_tree(spark, f"{root}/{d.name}", d, False, "*.txt")
+        parts.append(
+            docs.select(
+                F.lit(d.name).alias("dataset"),
+                "ingest_date",
+                "latitude",
+                "longitude",
+                F.col("hourly.time")[0].alias("first_time"),
+                F.col("hourly")[d.reading_fields[2]][3].alias("last_value"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+def bronze_file_listing(spark, sf_dir):
+    """Which feeds and ingest dates have files."""
+    files = list_files(spark, landed(spark, sf_dir, "files", AQI, WEATHER))
+    folder = r"dataset=([^/]+)/ingest_date=([^/]+)/[^/]+\.parquet$"
+    return (
+        files.select(
+            F.regexp_extract("path", folder, 1).alias("dataset"),
+            F.regexp_extract("path", folder, 2).alias("ingest_date"),
+        )
+        .where(F.col("dataset") != "")
+        .distinct()
+    )
+
+
 def bronze_listing(spark, sf_dir):
     root = landed(spark, sf_dir, "listing", AQI, WEATHER)
     return list_objects(read_landing(spark, root), "raw/weather/")
@@ -301,7 +339,9 @@ def headline_window(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "bronze_object_path": bronze_object_path,
     "bronze_scan": bronze_scan,
+    "bronze_tree_scan": bronze_tree_scan,
     "bronze_listing": bronze_listing,
+    "bronze_file_listing": bronze_file_listing,
     "bronze_roundtrip": bronze_roundtrip,
     "payload_verdicts": verdicts,
     "payload_quarantine_counts": payload_quarantine_counts,

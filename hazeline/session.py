@@ -18,6 +18,8 @@ def local_session(cpus: int | str = 8, app: str = "hazeline", **conf: str) -> Sp
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        # recording the Python call site of every column takes longer than many local queries
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

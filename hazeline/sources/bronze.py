@@ -1,6 +1,6 @@
 """Raw documents: landing them verbatim, reading them back, listing them.
 
-Two layouts are read. A *document tree* holds one JSON file per document under
+Two layouts are read. A *document tree* holds JSON files, usually one per document, under
 ``<dataset>/ingest_date=<day>/``. The *landing table* keeps the same documents verbatim as rows of
 Parquet, partitioned by dataset and ingest date, with the object path as a column; it is what
 this library writes, since billions of small files cannot be listed, let alone scanned, quickly.
@@ -89,13 +89,21 @@ def parse_documents(landed: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
-def read_document_tree(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+def read_document_tree(
+    spark: SparkSession,
+    root: str,
+    dataset: Dataset,
+    one_per_file: bool = True,
+    pattern: str = "*.json",
+) -> DataFrame:
     """Parsed documents of a JSON tree with their file as lineage; a broken file is an error.
 
-    ``root`` may hold globs. ``ingest_date=`` folders become a column that prunes folders.
+    ``root`` may hold globs. ``ingest_date=`` folders become a column that prunes folders. Trees
+    compacted to one document per line are read with ``one_per_file=False``; large files are then
+    split between tasks.
     """
-    reader = spark.read.schema(dataset.document_schema).option("multiLine", True)
-    docs = reader.option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(root)
+    reader = spark.read.schema(dataset.document_schema).option("multiLine", one_per_file)
+    docs = reader.option("mode", "FAILFAST").option("pathGlobFilter", pattern).json(root)
     return docs.withColumn(FILE, F.col("_metadata.file_path"))
 
 

@@ -117,6 +117,16 @@ def test_exact_mean_skips_null_and_nan(spark):
     assert whole.agg(numbers.exact_mean(F.col("v"))).first()[0] == 90.5
 
 
+def test_exact_mean_of_large_sums(spark):
+    # beyond what a double, and then a long of millionths, can add up exactly
+    for value, n in ((4e9 + 0.1, 1000), (8e12, 5000)):
+        df = spark.range(n).select((F.lit(value) + F.col("id") % 2).alias("v"))
+        got = df.agg(numbers.exact_mean(F.col("v"))).first()[0]
+        assert got == pytest.approx(value + 0.5, rel=1e-15)
+    df = spark.range(4).select((F.col("id") * -1e9 - 0.25).alias("v"))
+    assert df.agg(numbers.exact_mean(F.col("v"))).first()[0] == -1.5e9 - 0.25
+
+
 def test_exact_mean_does_not_depend_on_row_order(spark):
     values = spark.range(20_000).select(((F.col("id") * 7919 % 100_003) / 100).alias("v"))
     means = {
