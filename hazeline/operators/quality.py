@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from hazeline.functions.clock import hour_floor
-from hazeline.specs import AQI, DATE, FILE, HOUR, INGEST_TOKEN, WEATHER
+from hazeline.specs import AQI, FILE, HOUR, INGEST_TOKEN, WEATHER
 
 # Columns each model must always fill, and must not repeat.
 STAGED_NOT_NULL = (HOUR, INGEST_TOKEN, "source_system", FILE)
@@ -42,7 +42,9 @@ def accepted_values_failures(
     df: DataFrame, accepted: Mapping[str, Sequence[str]], prefix: str
 ) -> DataFrame:
     """Rows outside each column's accepted values, in one pass; nulls pass."""
-    return _counts(df, {f"{prefix}.{c}.accepted_values": ~F.col(c).isin(*v) for c, v in accepted.items()})
+    return _counts(
+        df, {f"{prefix}.{c}.accepted_values": ~F.col(c).isin(*v) for c, v in accepted.items()}
+    )
 
 
 def unique_failures(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:

@@ -68,7 +68,8 @@ def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset)
     unreadable = hourly.isNull() & ~F.startswith(
         F.coalesce(F.get_json_object(payload, "$"), F.lit("")), F.lit("{")
     )
-    uneven = hourly.isNull() | (F.size(lengths) == 0) | (F.array_min(lengths) != F.array_max(lengths))
+    differ = F.array_min(lengths) != F.array_max(lengths)
+    uneven = hourly.isNull() | (F.size(lengths) == 0) | differ
 
     required = F.array(*[F.lit(f) for f in dataset.required_fields])
     missing = F.array_join(F.array_sort(F.array_except(required, F.map_keys(hourly))), ", ")

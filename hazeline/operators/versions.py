@@ -90,8 +90,9 @@ def version_history(
     )
     earlier = Window.partitionBy(*names).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and key in it: at most slices + HOT_KEYS rows.
+    renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
     shifts = (
-        placed.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_slice").alias("_s"))
+        placed.groupBy(*renamed, F.col("_slice").alias("_s"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     )

@@ -41,7 +41,8 @@ def build(spark: SparkSession, landing: str, warehouse: str) -> Build:
         docs = latest_landing(read_landing(spark, landing, feed))
         write_model(quarantine(docs, feed), f"{warehouse}/quarantine_{feed.name}", ("ingest_date",))
         name = f"stg_{feed.name}_hourly"
-        staged[feed.name] = write_model(silver_from_landing(docs, feed), f"{warehouse}/{name}", (DATE,))
+        rows = silver_from_landing(docs, feed)
+        staged[feed.name] = write_model(rows, f"{warehouse}/{name}", (DATE,))
         reports.append(with_outcome(staged_checks(staged[feed.name], name, feed.source_system)))
     for report in reports:
         require_passing(report)

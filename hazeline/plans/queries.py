@@ -233,24 +233,27 @@ def materialize_mart(spark, sf_dir):
 
 
 def dq_not_null(spark, sf_dir):
+    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
     stg, gold = quality.STAGED_NOT_NULL, quality.MART_NOT_NULL
     return (
-        quality.not_null_failures(staged(spark, sf_dir, AQI), stg, "stg_aqi_hourly")
-        .unionByName(quality.not_null_failures(staged(spark, sf_dir, WEATHER), stg, "stg_weather_hourly"))
+        quality.not_null_failures(aqi, stg, "stg_aqi_hourly")
+        .unionByName(quality.not_null_failures(weather, stg, "stg_weather_hourly"))
         .unionByName(quality.not_null_failures(mart(spark, sf_dir), gold, "fct_aqi_hourly"))
     )
 
 
 def dq_unique(spark, sf_dir):
-    return quality.unique_failures(mart(spark, sf_dir), quality.MART_UNIQUE, "fct_aqi_hourly").unionByName(
-        quality.unique_failures(staged(spark, sf_dir, AQI), [HOUR, "user_id", FILE], "stg_aqi_hourly")
+    gold, aqi = mart(spark, sf_dir), staged(spark, sf_dir, AQI)
+    return quality.unique_failures(gold, quality.MART_UNIQUE, "fct_aqi_hourly").unionByName(
+        quality.unique_failures(aqi, [HOUR, "user_id", FILE], "stg_aqi_hourly")
     )
 
 
 def dq_accepted_values(spark, sf_dir):
+    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
     checks = (
-        (staged(spark, sf_dir, AQI), {"source_system": [AQI.source_system]}, "stg_aqi_hourly"),
-        (staged(spark, sf_dir, WEATHER), {"source_system": [WEATHER.source_system]}, "stg_weather_hourly"),
+        (aqi, {"source_system": [AQI.source_system]}, "stg_aqi_hourly"),
+        (weather, {"source_system": [WEATHER.source_system]}, "stg_weather_hourly"),
         (events(spark, sf_dir), {"event_type": ["click", "view", "purchase", "signup"]}, "events"),
     )
     parts = [quality.accepted_values_failures(*c) for c in checks]
@@ -285,7 +288,8 @@ def dq_hourly_gaps_by_user(spark, sf_dir):
 def dq_report(spark, sf_dir):
     # checked as stored, like in the build, so that it is computed once for all checks
     gold = cut_lineage(mart(spark, sf_dir), "mart")
-    return quality.dq_report(staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER), gold, aqi_max=AQI_MAX)
+    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
+    return quality.dq_report(aqi, weather, gold, aqi_max=AQI_MAX)
 
 
 def verdicts(spark, sf_dir):

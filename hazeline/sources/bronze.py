@@ -84,9 +84,8 @@ def parse_documents(landed: DataFrame, dataset: Dataset) -> DataFrame:
     misfit = F.raise_error(F.concat(F.lit("document does not fit its schema: "), F.col(FILE)))
     hourly = F.when(doc.isNull() | doc["_bad"].isNotNull(), misfit).otherwise(doc["hourly"])
     kept = [c for c in landed.columns if c != "payload"]
-    return landed.withColumn("_doc", document).select(
-        *kept, doc["latitude"].alias("latitude"), doc["longitude"].alias("longitude"), hourly.alias("hourly")
-    )
+    place = [doc[c].alias(c) for c in ("latitude", "longitude")]
+    return landed.withColumn("_doc", document).select(*kept, *place, hourly.alias("hourly"))
 
 
 def read_document_tree(

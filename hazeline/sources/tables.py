@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ def has_mart(spark: SparkSession, name: str = MART) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def has_model(spark: SparkSession, path: str) -> bool:
+    """Is a model stored at ``path``?"""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def load_hourly(mart: DataFrame) -> DataFrame:
     """The mart as served: fixed columns in fixed order, by hour, ingest time as a zoned instant.
 

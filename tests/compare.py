@@ -74,7 +74,8 @@ def main() -> int:
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:600]}"
         bad += found is not None
-        print(f"{'ok  ' if found is None else 'DIFF'} {name} {time.time() - start:.1f}s {found or ''}", flush=True)
+        mark, took = "ok  " if found is None else "DIFF", time.time() - start
+        print(f"{mark} {name} {took:.1f}s {found or ''}", flush=True)
     return 1 if bad else 0
 
 

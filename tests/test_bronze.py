@@ -86,7 +86,8 @@ def test_tree_scan_prunes_ingest_dates(spark, tree):
 
 
 def test_a_broken_file_is_an_error(spark, tree):
-    (tree / "aqi/ingest_date=2026-03-24/city_aqi_raw_20260324T143456Z.json").write_text('{"latitude": ')
+    broken = tree / "aqi/ingest_date=2026-03-24/city_aqi_raw_20260324T143456Z.json"
+    broken.write_text('{"latitude": ')
     with pytest.raises(Exception, match="FAILFAST|MALFORMED|FAILED_READ_FILE"):
         bronze.read_document_tree(spark, str(tree / "aqi"), AQI).collect()
 
@@ -153,9 +154,8 @@ def test_objects_are_listed_by_prefix(spark):
 
 
 def parsed(spark, *payloads):
-    docs = frame(
-        spark, "raw_file_name string, payload string", *[(f"a_raw_{i}.json", p) for i, p in enumerate(payloads)]
-    )
+    data = [(f"a_raw_{i}.json", p) for i, p in enumerate(payloads)]
+    docs = frame(spark, "raw_file_name string, payload string", *data)
     return bronze.parse_documents(docs, AQI)
 
 

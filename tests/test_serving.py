@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeline.operators import serving
-from hazeline.sources.tables import has_mart, load_hourly, write_model, write_table
+from hazeline.plans.views import views
+from hazeline.sources.tables import has_mart, has_model, load_hourly, write_model, write_table
 from hazeline.specs import DATE, HOUR, HOURLY_COLUMNS, METRIC_LABELS
 from tests.conftest import frame, plan_of, rows
 
@@ -225,7 +226,26 @@ def test_catalog_mart(spark):
 @pytest.mark.parametrize("partition_by", [(DATE,), ()])
 def test_write_model_replaces(spark, tmp_path, partition_by):
     path = str(tmp_path / "m")
+    assert not has_model(spark, path)
     write_model(mart(spark, *DAYS), path, partition_by)
+    assert has_model(spark, path)
     again = write_model(mart(spark, *DAYS[:1]), path, partition_by)
     assert again.columns == mart(spark).columns
     assert rows(again) == rows(mart(spark, *DAYS[:1]))
+
+
+def test_views_of_a_window(spark):
+    df = mart(spark, *DAYS)
+    got = views(df, D24, D24, now=datetime(2026, 3, 23, 18))
+    assert got["hourly"].count() == 2
+    assert got["daily"].count() == 1
+    assert got["series"].count() == 2 * 6
+    assert got["map"].count() == 1
+    assert got["freshness"].first()["is_stale"] is False
+    assert {r["value"] for r in got["status"].collect()} >= {"open-meteo", "31.0 C"}
+    # nothing chosen shows the index alone
+    assert {r["metric"] for r in views(df, series=[])["series"].collect()} == {"US AQI"}
+    chosen = views(df, series=["pm25", "pm10"])["series"]
+    assert {r["metric"] for r in chosen.collect()} == {"PM2.5", "PM10"}
+    with pytest.raises(ValueError, match="ozone"):
+        views(df, series=["ozone"])
