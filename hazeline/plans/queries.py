@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +56,14 @@ def staged(spark, sf_dir, dataset) -> DataFrame:
     return feed(events(spark, sf_dir), dataset)
 
 
+def staged_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both feeds over one listing of the table."""
+    source = events(spark, sf_dir)
+    return feed(source, AQI), feed(source, WEATHER)
+
+
 def mart(spark, sf_dir, keys=BY_HOUR) -> DataFrame:
-    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
-    return gold_mart(aqi, weather, keys, TIE_BREAK)
+    return gold_mart(*staged_pair(spark, sf_dir), keys, TIE_BREAK)
 
 
 def naive(df: DataFrame, column: str) -> DataFrame:
@@ -81,9 +86,9 @@ def bronze_object_path(spark, sf_dir):
 
 def landed(spark, sf_dir, label, *datasets, defects=False) -> str:
     """Land the documents of the feeds in a fresh folder and return it."""
-    root = scratch_path(spark, label)
-    for feed_spec in datasets:
-        land_documents(documents(events(spark, sf_dir), feed_spec, defects), root)
+    root, source = scratch_path(spark, label), events(spark, sf_dir)
+    docs = reduce(DataFrame.unionByName, [documents(source, d, defects) for d in datasets])
+    land_documents(docs, root)
     return root
 
 
@@ -104,10 +109,10 @@ def bronze_scan(spark, sf_dir):
 
 def bronze_tree_scan(spark, sf_dir):
     """The documents as JSON text files below ``ingest_date=`` folders, read by the JSON reader."""
-    root = scratch_path(spark, "tree")
+    root, source = scratch_path(spark, "tree"), events(spark, sf_dir)
     parts = []
     for d in (AQI, WEATHER):
-        lines = documents(events(spark, sf_dir), d).select("payload", "ingest_date")
+        lines = documents(source, d).select("payload", "ingest_date")
         by_date = lines.hint("rebalance", F.col("ingest_date")).write.partitionBy("ingest_date")
         by_date.format("text").option("compression", "none").save(f"{root}/{d.name}")
         docs = read_document_tree(spark, f"{root}/{d.name}", d, False, "*.txt")
@@ -218,8 +223,10 @@ def latest_shipment_version(spark, sf_dir):
 
 
 def bronze_to_gold(spark, sf_dir):
+    source = events(spark, sf_dir)
+
     def side(dataset):
-        docs = documents(events(spark, sf_dir), dataset, defects=True)
+        docs = documents(source, dataset, defects=True)
         return silver_from_landing(docs, dataset, ("event_id",))
 
     return gold_mart(side(AQI), side(WEATHER), BY_HOUR, TIE_BREAK)
@@ -233,24 +240,29 @@ def materialize_mart(spark, sf_dir):
 
 
 def dq_not_null(spark, sf_dir):
-    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
+    aqi, weather = staged_pair(spark, sf_dir)
     stg, gold = quality.STAGED_NOT_NULL, quality.MART_NOT_NULL
     return (
         quality.not_null_failures(aqi, stg, "stg_aqi_hourly")
         .unionByName(quality.not_null_failures(weather, stg, "stg_weather_hourly"))
-        .unionByName(quality.not_null_failures(mart(spark, sf_dir), gold, "fct_aqi_hourly"))
+        .unionByName(
+            quality.not_null_failures(
+                gold_mart(aqi, weather, BY_HOUR, TIE_BREAK), gold, "fct_aqi_hourly"
+            )
+        )
     )
 
 
 def dq_unique(spark, sf_dir):
-    gold, aqi = mart(spark, sf_dir), staged(spark, sf_dir, AQI)
+    aqi, weather = staged_pair(spark, sf_dir)
+    gold = gold_mart(aqi, weather, BY_HOUR, TIE_BREAK)
     return quality.unique_failures(gold, quality.MART_UNIQUE, "fct_aqi_hourly").unionByName(
         quality.unique_failures(aqi, [HOUR, "user_id", FILE], "stg_aqi_hourly")
     )
 
 
 def dq_accepted_values(spark, sf_dir):
-    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
+    aqi, weather = staged_pair(spark, sf_dir)
     checks = (
         (aqi, {"source_system": [AQI.source_system]}, "stg_aqi_hourly"),
         (weather, {"source_system": [WEATHER.source_system]}, "stg_weather_hourly"),
@@ -287,14 +299,15 @@ def dq_hourly_gaps_by_user(spark, sf_dir):
 
 def dq_report(spark, sf_dir):
     # checked as stored, like in the build, so that it is computed once for all checks
-    gold = cut_lineage(mart(spark, sf_dir), "mart")
-    aqi, weather = staged(spark, sf_dir, AQI), staged(spark, sf_dir, WEATHER)
+    aqi, weather = staged_pair(spark, sf_dir)
+    gold = cut_lineage(gold_mart(aqi, weather, BY_HOUR, TIE_BREAK), "mart")
     return quality.dq_report(aqi, weather, gold, aqi_max=AQI_MAX)
 
 
 def verdicts(spark, sf_dir):
+    source = events(spark, sf_dir)
     parts = [
-        with_verdict(documents(events(spark, sf_dir), d, defects=True), d).select(
+        with_verdict(documents(source, d, defects=True), d).select(
             "dataset", "event_id", "verdict", "detail"
         )
         for d in (AQI, WEATHER)
