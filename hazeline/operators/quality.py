@@ -47,18 +47,29 @@ def accepted_values_failures(
     )
 
 
-def unique_failures(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-    """Number of values that occur more than once, per column; nulls are ignored.
+def unique_failures(
+    df: DataFrame, columns: Sequence[str | Sequence[str]], prefix: str
+) -> DataFrame:
+    """Number of values that occur more than once, per column or group of columns; nulls are ignored.
 
-    All columns share one scan and one shuffle. Counting is by value with partial sums before the
+    All of them share one scan and one shuffle. Counting is by value with partial sums before the
     shuffle, so a value repeated in a third of all rows is one row per input partition.
     """
+    groups = {"+".join(g): g for g in ((c,) if isinstance(c, str) else tuple(c) for c in columns)}
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
+        *[F.struct(F.lit(name).alias("c"), _as_text(g).alias("v")) for name, g in groups.items()]
     )
     values = df.select(F.inline(pairs)).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     repeated = F.col("v").isNotNull() & (F.col("n") > 1)
-    return _counts(values, {f"{prefix}.{c}.unique": (F.col("c") == c) & repeated for c in columns})
+    return _counts(values, {f"{prefix}.{c}.unique": (F.col("c") == c) & repeated for c in groups})
+
+
+def _as_text(columns: Sequence[str]) -> Column:
+    """Null if any column is; no two different groups of values read the same."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return F.when(known, F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
 
 
 def metric_out_of_range(aqi_max: int = 500) -> Column:
@@ -141,7 +152,10 @@ def staged_checks(staged: DataFrame, prefix: str, source_system: str) -> DataFra
 def mart_checks(
     mart: DataFrame, prefix: str = "fct_aqi_hourly", keys: Sequence[str] = (), aqi_max: int = 500
 ) -> DataFrame:
-    """Checks of the mart: one pass for row conditions, one grouped pass each for the rest."""
+    """Checks of the mart: one pass for row conditions, one grouped pass each for the rest.
+
+    With keys, an hour must be unique, and hours without gaps, per key.
+    """
     conditions = {f"{prefix}.{c}.not_null": F.col(c).isNull() for c in MART_NOT_NULL}
     conditions["valid_metric_ranges"] = metric_out_of_range(aqi_max)
     conditions["valid_weather_ranges"] = weather_out_of_range()
@@ -149,9 +163,10 @@ def mart_checks(
         F.lit("no_missing_hourly_gaps").alias("check_name"),
         F.count(F.lit(1)).alias("failing_rows"),
     )
+    unique = ["record_key", [*keys, HOUR]]
     return reduce(
         DataFrame.unionByName,
-        [_counts(mart, conditions), unique_failures(mart, MART_UNIQUE, prefix), gaps],
+        [_counts(mart, conditions), unique_failures(mart, unique, prefix), gaps],
     )
 
 

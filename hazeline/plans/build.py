@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from hazeline.plans.gold import gold_mart
 from hazeline.plans.silver import silver_from_landing
 from hazeline.sources.bronze import latest_landing, read_landing
 from hazeline.sources.tables import MART, write_model
-from hazeline.specs import AQI, DATE, WEATHER
+from hazeline.specs import AQI, DATE, HOUR, WEATHER
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,13 @@ class Build:
     report: DataFrame
 
 
-def build(spark: SparkSession, landing: str, warehouse: str) -> Build:
-    """Full refresh. A failed silver check stops before the mart; a failed mart check raises.
+def build(
+    spark: SparkSession, landing: str, warehouse: str, location: Sequence[str] = ()
+) -> Build:
+    """Full refresh: a failed silver check stops before the mart, a failed mart check raises.
 
-    Checks run on the stored tables, so nothing is computed twice. Documents that do not pass
+    ``location`` names the columns that tell places apart if there are several, such as latitude
+    and longitude. Checks run on the stored tables, so nothing is computed twice. Documents that do not pass
     validation are written to ``quarantine_<feed>`` and take no further part.
     """
     staged, reports = {}, []
@@ -47,8 +51,9 @@ def build(spark: SparkSession, landing: str, warehouse: str) -> Build:
     for report in reports:
         require_passing(report)
 
-    mart = write_model(gold_mart(staged["aqi"], staged["weather"]), f"{warehouse}/{MART}", (DATE,))
-    reports.append(with_outcome(mart_checks(mart, MART)))
+    gold = gold_mart(staged["aqi"], staged["weather"], (*location, HOUR))
+    mart = write_model(gold, f"{warehouse}/{MART}", (DATE,))
+    reports.append(with_outcome(mart_checks(mart, MART, location)))
     require_passing(reports[-1])
     report = reports[0].unionByName(reports[1]).unionByName(reports[2])
     return Build(staged["aqi"], staged["weather"], mart, report)

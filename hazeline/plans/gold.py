@@ -31,8 +31,8 @@ def gold_mart(
     """One row per key of the AQI feed; hours without weather keep nulls.
 
     Both sides are cut to one row per key before they meet, and the ranking already partitions
-    them by the join keys, so the join adds no shuffle of its own. Keys beyond the hour are kept
-    as extra columns and made part of the record key.
+    them by the join keys, so the join adds no shuffle of its own. Keys beyond the hour, such as
+    latitude and longitude, become part of the record key and are kept as columns.
     """
     extra = [k for k in keys if k != HOUR]
     aqi = latest_staged(staged_aqi, AQI, keys, tie_break)
@@ -41,5 +41,5 @@ def gold_mart(
     return (
         both.withColumn("record_key", record_key(*[F.col(c) for c in (HOUR, INGEST_TOKEN, *extra)]))
         .withColumn("last_ingested_at_utc", ingest_instant(F.col(INGEST_TOKEN)))
-        .select(*MART_COLUMNS, *extra)
+        .select(*MART_COLUMNS, *[k for k in extra if k not in MART_COLUMNS])
     )

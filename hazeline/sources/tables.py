@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.functions.clock import as_utc
@@ -20,18 +20,22 @@ def write_model(df: DataFrame, path: str, partition_by: Sequence[str] = (DATE,))
     Rebalancing by the partition columns keeps one date in few files of even size, and splits a
     date that is far larger than the others instead of giving it to one task.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _full_refresh(df, partition_by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.select(*df.columns)
 
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (DATE,)) -> None:
     """Replace the catalog table ``name``."""
+    _full_refresh(df, partition_by).format("parquet").saveAsTable(name)
+
+
+def _full_refresh(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(name)
+    # static even if the session prefers to replace only the partitions that get new rows
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    return writer.partitionBy(*partition_by)
 
 
 def has_mart(spark: SparkSession, name: str = MART) -> bool:

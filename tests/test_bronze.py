@@ -10,8 +10,8 @@ from hazeline.operators.validation import valid_documents
 from hazeline.plans.build import build
 from hazeline.plans.silver import silver, silver_from_landing
 from hazeline.sources import bronze
-from hazeline.sources.tables import load_hourly
-from hazeline.specs import AQI, FILE, HOUR, WEATHER
+from hazeline.sources.tables import load_hourly, write_model
+from hazeline.specs import AQI, FILE, HOUR, MART_COLUMNS, WEATHER
 from hazeline.streaming.silver import stream_silver
 from tests.conftest import frame, plan_of, rows
 
@@ -209,6 +209,50 @@ def test_build_from_landing_to_mart(spark, tmp_path):
         assert [r["verdict"] for r in bad.collect()] == ["missing_hourly"]
 
 
+def test_build_of_several_locations(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_good(spark, root)
+    far = {"13.75": "51.5", "100.5": "0.25"}
+
+    def moved(text):
+        for here, there in far.items():
+            text = text.replace(here, there)
+        return text
+
+    bronze.land_documents(
+        frame(
+            spark,
+            LANDING_DDL,
+            doc(AQI, "20260324T153456Z", moved(VERBATIM)),
+            doc(WEATHER, "20260324T153456Z", moved(weather_text(7.5))),
+        ),
+        root,
+    )
+    result = build(spark, root, warehouse, ["latitude", "longitude"])
+    got = result.mart.select("latitude", "us_aqi", "temperature_c").collect()
+    assert sorted(tuple(r) for r in got) == [
+        (13.75, 42, 32.5),
+        (13.75, 77, 31.5),
+        (51.5, 42, 7.5),
+        (51.5, 42, 8.5),
+    ]
+    assert result.mart.columns == list(MART_COLUMNS)
+    assert result.report.where("not passed").count() == 0
+
+
+def test_build_replaces_all_dates_in_a_dynamic_overwrite_session(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for day in ("2026-03-24", "2026-03-25"):
+            stored = write_model(
+                spark.sql(f"select 1 as a, date '{day}' as d"), path, ["d"]
+            )
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [str(r["d"]) for r in stored.collect()] == ["2026-03-25"]
+
+
 def test_build_stops_on_failed_checks(spark, tmp_path):
     root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
     bronze.land_documents(

@@ -167,3 +167,10 @@ def test_require_passing_names_the_failures(spark):
 def test_unique_counts_repeated_values(spark):
     df = frame(spark, "a string, b int", ("x", 1), ("x", 2), ("y", 2), (None, 3), (None, 4))
     assert outcome(quality.unique_failures(df, ["a", "b"], "t")) == {"t.a.unique": 1, "t.b.unique": 1}
+
+
+def test_unique_over_groups_of_columns(spark):
+    data = (("x", "1|", "a"), ("x", "1|", "b"), ("x|1", "|", "a"), ("x", None, "a"), ("x", None, "a"))
+    df = frame(spark, "a string, b string, c string", *data)
+    found = outcome(quality.unique_failures(df, [["a", "b"], ["a", "b", "c"], "c"], "t"))
+    assert found == {"t.a+b.unique": 1, "t.a+b+c.unique": 0, "t.c.unique": 1}
