@@ -14,22 +14,13 @@ from pyspark.sql import functions as F
 from hazeline.specs import Dataset
 
 OK = "ok"
+# Values stay text at first, so one odd element cannot null out its whole array.
+DOCUMENT = "latitude string, longitude string, hourly map<string, array<string>>"
 
 
 def with_verdict(docs: DataFrame, dataset: Dataset, payload: str = "payload") -> DataFrame:
-    """``docs`` with ``verdict`` and ``detail`` (null for good documents).
-
-    The verdict comes out of a generator over a one-element array. That parses a document once: as
-    a plain column, a later filter on it would be pushed below and parse the document again.
-    """
-    text = F.col(payload)
-    verdict = _bind(
-        _hourly_arrays(text),
-        lambda hourly: _bind(
-            _lengths(hourly), lambda lengths: _verdict(hourly, lengths, text, dataset)
-        )[0],
-    )
-    return docs.select("*", F.inline(verdict))
+    """``docs`` with ``verdict`` and ``detail`` (null for good documents)."""
+    return _judged(docs, dataset, payload).select(*docs.columns, "_verdict.*")
 
 
 def valid_documents(docs: DataFrame, dataset: Dataset, payload: str = "payload") -> DataFrame:
@@ -37,14 +28,45 @@ def valid_documents(docs: DataFrame, dataset: Dataset, payload: str = "payload")
     return with_verdict(docs, dataset, payload).where(F.col("verdict") == OK).select(*docs.columns)
 
 
+def parse_valid_documents(
+    docs: DataFrame, dataset: Dataset, payload: str = "payload"
+) -> DataFrame:
+    """Documents that pass, with ``latitude, longitude, hourly`` in place of the text.
+
+    Checking and reading share one parse. A reading that is no number is an error.
+    """
+    good = _judged(docs, dataset, payload).where(F.col("_verdict.verdict") == OK)
+    kept = [c for c in docs.columns if c != payload]
+    doc = F.col("_doc")
+    arrays = [
+        doc["hourly"][f.name].cast(f.dataType).alias(f.name)
+        for f in dataset.document_schema["hourly"].dataType
+    ]
+    return good.select(
+        *kept,
+        doc["latitude"].cast("double").alias("latitude"),
+        doc["longitude"].cast("double").alias("longitude"),
+        F.struct(*arrays).alias("hourly"),
+    )
+
+
 def quarantine(docs: DataFrame, dataset: Dataset, payload: str = "payload") -> DataFrame:
     """Documents that fail, with the reason."""
     return with_verdict(docs, dataset, payload).where(F.col("verdict") != OK)
 
 
-def _hourly_arrays(payload: Column) -> Column:
-    # Elements stay text, so one odd element cannot null out its whole array.
-    return F.from_json(payload, "hourly map<string, array<string>>")["hourly"]
+def _judged(docs: DataFrame, dataset: Dataset, payload: str) -> DataFrame:
+    # Verdict and parsed document come out of a generator over a one-element array. That parses a
+    # document once: with plain columns, a filter on the verdict would be pushed below them and
+    # parse the document again.
+    text = F.col(payload)
+
+    def judge(doc: Column) -> Column:
+        hourly = doc["hourly"]
+        verdict = _bind(_lengths(hourly), lambda n: _verdict(hourly, n, text, dataset))[0]
+        return F.struct(verdict.alias("_verdict"), doc.alias("_doc"))
+
+    return docs.select("*", F.inline(_bind(F.from_json(text, DOCUMENT), judge)))
 
 
 def _lengths(hourly: Column) -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.paths import ingest_token
 from hazeline.operators.explode import explode_hourly, standardize
-from hazeline.operators.validation import valid_documents
-from hazeline.sources.bronze import parse_documents
+from hazeline.operators.validation import parse_valid_documents
 from hazeline.specs import AQI, FILE, INGEST_TOKEN, WEATHER, Dataset
 
 
@@ -33,5 +32,5 @@ def silver_weather(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 def silver_from_landing(landed: DataFrame, dataset: Dataset, carry: Sequence[str] = ()) -> DataFrame:
     """Silver rows of the landed documents that pass validation. No shuffle anywhere."""
-    good = valid_documents(landed.select(FILE, "payload", *carry), dataset)
-    return silver(parse_documents(good, dataset), dataset, carry)
+    good = parse_valid_documents(landed.select(FILE, "payload", *carry), dataset)
+    return silver(good, dataset, carry)

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hazeline.operators import serving
-from hazeline.sources.tables import load_hourly
+from hazeline.sources.tables import served_columns
+from hazeline.specs import HOUR
 
 
 def views(
@@ -22,15 +24,17 @@ def views(
 
     ``series`` are the metric keys to chart: all available ones by default, the index if empty.
     """
-    hourly = load_hourly(mart)
+    hourly = served_columns(mart)
     options = serving.metric_option_map(hourly)
     chosen = list(options) if series is None else list(series)
     unknown = [s for s in chosen if s not in options]
     if unknown:
         raise ValueError(f"no such series: {', '.join(unknown)}")
+    # only what is shown row by row is sorted
     window = serving.date_window(hourly, start, end)
+    in_order = window.orderBy(F.col(HOUR).asc_nulls_last())
     return {
-        "hourly": window,
+        "hourly": in_order,
         "options": serving.metric_options(hourly),
         "kpis": serving.window_kpis(window),
         "cards": serving.headline_cards(window),
@@ -39,5 +43,5 @@ def views(
         "map": serving.map_points(window),
         "series": serving.melt_metrics(window, {s: options[s] for s in chosen}),
         "daily": serving.daily_summary(window),
-        "records": serving.display_table(window),
+        "records": serving.display_table(in_order),
     }

@@ -55,7 +55,12 @@ def has_model(spark: SparkSession, path: str) -> bool:
 
 
 def load_hourly(mart: DataFrame) -> DataFrame:
-    """The mart as served: fixed columns in fixed order, by hour, ingest time as a zoned instant.
+    """The mart as served, in order of the hour."""
+    return served_columns(mart).orderBy(F.col(HOUR).asc_nulls_last())
+
+
+def served_columns(mart: DataFrame) -> DataFrame:
+    """Fixed columns in fixed order, with the ingest time as a zoned instant; rows in any order.
 
     Weather columns an older mart lacks are filled with typed nulls.
     """
@@ -68,4 +73,4 @@ def load_hourly(mart: DataFrame) -> DataFrame:
             columns.append(as_utc(F.col(name), types[name]).alias(name))
         else:
             columns.append(F.col(name))
-    return mart.select(*columns).orderBy(F.col(HOUR).asc_nulls_last())
+    return mart.select(*columns)

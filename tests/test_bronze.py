@@ -177,6 +177,22 @@ def test_a_reading_that_is_no_number_is_an_error(spark):
         silver(docs, AQI).collect()
 
 
+def test_checked_and_plain_parsing_agree(spark):
+    docs = frame(
+        spark,
+        "raw_file_name string, payload string",
+        ("a_raw_1.json", VERBATIM),
+        ("a_raw_2.json", VERBATIM.replace("20.5,21", "-0.1e-3, 7")),
+        ("a_raw_3.json", '{"hourly":{"time":["2026-03-24T00:00"],"pm2_5":null,"pm10":[1],"us_aqi":[2]}}'),
+    )
+    plain = silver(bronze.parse_documents(docs, AQI), AQI)
+    assert rows(silver_from_landing(docs, AQI)) == rows(plain)
+    assert plain.count() == 5
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT.*DOUBLE"):
+        odd = docs.selectExpr("raw_file_name", "replace(payload, '12.3', '\"x\"') as payload")
+        silver_from_landing(odd, AQI).collect()
+
+
 def test_bad_time_text_is_an_error(spark):
     docs = parsed(spark, '{"hourly":{"time":["soon"],"pm2_5":[1],"pm10":[1],"us_aqi":[5]}}')
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

@@ -243,6 +243,8 @@ def test_views_of_a_window(spark):
     assert got["map"].count() == 1
     assert got["freshness"].first()["is_stale"] is False
     assert {r["value"] for r in got["status"].collect()} >= {"open-meteo", "31.0 C"}
+    assert [r["forecast_time_local"].hour for r in got["records"].collect()] == [0, 1]
+    assert "rangepartitioning" not in plan_of(got["status"])
     # nothing chosen shows the index alone
     assert {r["metric"] for r in views(df, series=[])["series"].collect()} == {"US AQI"}
     chosen = views(df, series=["pm25", "pm10"])["series"]
