@@ -94,15 +94,18 @@ def read_document_tree(
     dataset: Dataset,
     one_per_file: bool = True,
     pattern: str = "*.json",
+    any_depth: bool = False,
 ) -> DataFrame:
     """Parsed documents of a JSON tree with their file as lineage; a broken file is an error.
 
     ``root`` may hold globs. ``ingest_date=`` folders become a column that prunes folders. Trees
     compacted to one document per line are read with ``one_per_file=False``; large files are then
-    split between tasks.
+    split between tasks. ``any_depth`` takes files from folders of any name and depth, and then
+    there is no folder column.
     """
     reader = spark.read.schema(dataset.document_schema).option("multiLine", one_per_file)
-    docs = reader.option("mode", "FAILFAST").option("pathGlobFilter", pattern).json(root)
+    reader = reader.option("mode", "FAILFAST").option("recursiveFileLookup", any_depth)
+    docs = reader.option("pathGlobFilter", pattern).json(root)
     return docs.withColumn(FILE, F.col("_metadata.file_path"))
 
 

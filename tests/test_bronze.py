@@ -85,6 +85,15 @@ def test_tree_scan_prunes_ingest_dates(spark, tree):
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
 
 
+def test_tree_scan_at_any_depth(spark, tree):
+    odd = tree / "aqi/by-hand/march/city_aqi_raw_20260324T153456Z.json"
+    odd.parent.mkdir(parents=True)
+    odd.write_text(VERBATIM)
+    docs = bronze.read_document_tree(spark, str(tree / "aqi"), AQI, any_depth=True)
+    tokens = {r[0] for r in silver(docs, AQI).select("ingest_time_utc").collect()}
+    assert tokens == {"20260324T123456Z", "20260324T133456Z", "20260324T153456Z"}
+
+
 def test_a_broken_file_is_an_error(spark, tree):
     broken = tree / "aqi/ingest_date=2026-03-24/city_aqi_raw_20260324T143456Z.json"
     broken.write_text('{"latitude": ')
