@@ -63,17 +63,22 @@ def ingest_instant(text: Column) -> Column:
 
 
 def as_utc(ts: Column, type_name: str) -> Column:
-    """Zoned instant of a column; a zone-less one is taken to be UTC."""
+    """Zoned instant of a column; a zone-less one is taken to be UTC.
+
+    Goes by way of text: by way of the session zone, the hour that a clock change repeats there
+    would stand for two instants.
+    """
     if type_name == "timestamp_ntz":
-        here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts)
-        return here.cast("timestamp")
+        return F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
     return ts
 
 
 def as_naive_utc(ts: Column, type_name: str) -> Column:
-    """Zone-less UTC time of a column; a zoned one is converted."""
+    """Zone-less UTC time of a column; a zoned one is converted by its distance to the epoch."""
     if type_name == "timestamp":
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+        micros = F.unix_micros(ts).cast("decimal(19,0)")
+        seconds = (micros * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(18,6)")
+        return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
     return ts
 
 

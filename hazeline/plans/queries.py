@@ -9,7 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.functions.clock import hours_crossed, ingest_instant
+from hazeline.functions.clock import as_naive_utc, hours_crossed, ingest_instant
 from hazeline.functions.numbers import whole
 from hazeline.functions.paths import ingest_token, object_path, record_key
 from hazeline.operators import quality, serving
@@ -67,8 +67,8 @@ def mart(spark, sf_dir, keys=BY_HOUR) -> DataFrame:
 
 
 def naive(df: DataFrame, column: str) -> DataFrame:
-    """Zoned UTC column shown without its zone."""
-    return df.withColumn(column, F.to_utc_timestamp(column, F.current_timezone()).cast("timestamp_ntz"))
+    """A zoned column as zone-less UTC time."""
+    return df.withColumn(column, as_naive_utc(F.col(column), "timestamp"))
 
 
 def hourly(spark, sf_dir, keys=BY_HOUR) -> DataFrame:

@@ -178,14 +178,21 @@ def test_staleness_boundary(spark):
     assert not stale("2026-03-24 10:00:00", seven_ahead)
 
 
-@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
-def test_naive_and_zoned_utc_times_agree(spark, zone):
+# In New York the hour from 05:00 to 06:00 UTC that day is shown again an hour later.
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+@pytest.mark.parametrize(
+    "text",
+    ["2026-03-24 10:00:00", "2024-11-03 05:30:00.000001", "2024-11-03 06:30:00", "1969-12-31 23:59:59.5"],
+)
+def test_naive_and_zoned_utc_times_agree(spark, zone, text):
+    expected = datetime.fromisoformat(text)
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        naive, zoned = ts("2026-03-24 10:00:00"), F.lit("2026-03-24 10:00:00Z").cast("timestamp")
-        assert one(spark, F.unix_micros(clock.as_utc(naive, "timestamp_ntz")) - F.unix_micros(zoned)) == 0
-        assert one(spark, clock.as_naive_utc(zoned, "timestamp")) == datetime(2026, 3, 24, 10)
-        assert one(spark, clock.as_naive_utc(naive, "timestamp_ntz")) == datetime(2026, 3, 24, 10)
+        naive, zoned = ts(text), F.lit(text + "Z").cast("timestamp")
+        apart = F.unix_micros(clock.as_utc(naive, "timestamp_ntz")) - F.unix_micros(zoned)
+        assert one(spark, apart) == 0
+        assert one(spark, clock.as_naive_utc(zoned, "timestamp")) == expected
+        assert one(spark, clock.as_naive_utc(naive, "timestamp_ntz")) == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
