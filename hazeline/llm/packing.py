@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ CAPACITY = 4096
 END_ID = 2
 PIECE_TOKENS = 1024
 #: Pieces that are differenced together.
-BATCH_PIECES = 2048
+BATCH_PIECES = 1024
 #: Words whose ids a worker remembers between tasks.
 CACHE_WORDS = 700_000
 #: Words that ask the tokenizer for their ids together.
@@ -41,36 +43,76 @@ ASK_WORDS = 2048
 # fixed values: characters that only one of split() and the tokenizer's rule takes for white space, and the
 # beginning of its special strings
 _UNUSUAL = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "<|")
-_KNOWN: dict[str, tuple[object, dict[str, bytes]]] = {}
+#: Letters whose lower case is one letter, whatever stands around them, and signs that may follow a word: the
+#: tokenizer takes both apart in any case.
+_WORD_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_KNOWN: dict[str, tuple[object, dict[str, bytes], dict[str, bytes]]] = {}
 
 
 def _tokenizer(path: str):
+    """The tokenizer with what this worker has learned: ids of words as they stand, and of their parts."""
     if path not in _KNOWN:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _KNOWN[path] = (Tokenizer.from_file(path), {})
-    return _KNOWN[path]
+        _KNOWN[path] = (Tokenizer.from_file(path), {}, {})
+    tokenizer, known, parts = _KNOWN[path]
+    for held in (known, parts):
+        if len(held) > CACHE_WORDS:
+            held.clear()
+    return tokenizer, known, parts
 
 
-def _learn(tokenizer, known: dict[str, bytes], new: list[str]) -> None:
-    """Ids of words, as little-endian bytes; words are joined by spaces, which no token crosses."""
+def _ask(tokenizer, held: dict[str, bytes], new: list[str]) -> None:
+    """Ids as little-endian bytes; what is asked together is joined by spaces, which no token crosses."""
     for low in range(0, len(new), ASK_WORDS):
         some = new[low : low + ASK_WORDS]
         encoding = tokenizer.encode(" ".join(some), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
-        begin = np.array([a for a, _ in encoding.offsets], np.int64)
+        ids = np.array(encoding.ids, "<u4").tobytes()
+        begin = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
         ends = np.cumsum([len(w) + 1 for w in some])
-        cuts = np.append(0, np.searchsorted(begin, ends))
-        for word, a, b in zip(some, cuts[:-1], cuts[1:], strict=True):
-            known[word] = ids[a:b].tobytes()
+        at = 0
+        for word, cut in zip(some, (4 * np.searchsorted(begin, ends)).tolist(), strict=True):
+            held[word] = ids[at:cut]
+            at = cut
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in the vocabulary: itself if printable, else the next one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: 256 + k for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _learn(tokenizer, known: dict[str, bytes], parts: dict[str, bytes], new: set[str]) -> None:
+    """Ids of words not seen before, from their parts; parts of plain letters go to the merges directly."""
+    merges = tokenizer.model.tokenize
+    odd = []
+    for w in new:
+        m = _WORD_AND_SIGNS.fullmatch(w)
+        if not m:
+            odd.append(w)
+            continue
+        word, signs = m.groups()
+        word = word.lower()
+        ids = parts.get(word)
+        if ids is None:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+            ids = parts[word] = array("I", [t.id for t in merges(letters)]).tobytes()
+        if signs:
+            if signs not in parts:
+                _ask(tokenizer, parts, [signs])
+            ids += parts[signs]
+        known[w] = ids
+    _ask(tokenizer, known, odd)
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit values."""
-    tokenizer, known = _tokenizer(path)
-    if len(known) > CACHE_WORDS:
-        known.clear()
+    tokenizer, known, parts = _tokenizer(path)
     split: list[list | None] = []
     found: list[list | None] = []
     new = set()
@@ -85,7 +127,7 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
             new.update([w for w, x in zip(words, ids, strict=True) if x is None])
         split.append(words)
         found.append(ids)
-    _learn(tokenizer, known, list(new))
+    _learn(tokenizer, known, parts, new)
     out = []
     for text, words, ids in zip(texts, split, found, strict=True):
         if words is None:
