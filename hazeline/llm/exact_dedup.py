@@ -62,7 +62,7 @@ def exact_groups(
 ) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, digest``."""
     rows = digests(docs, id_col, text_col, prefix_chars, every_digest)
-    groups = rows.where("again").groupBy("digest").agg(F.min("doc_id").alias("least"), F.sum("copies").alias("total"))
+    groups = stored(rows.where("again").groupBy("digest").agg(F.min("doc_id").alias("least"), F.sum("copies").alias("total")), "groups")
     decided = rows.where("again").join(groups, "digest").unionByName(
         rows.where("NOT again").withColumns({"least": F.col("doc_id"), "total": F.col("copies")})
     )
