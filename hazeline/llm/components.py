@@ -9,22 +9,24 @@ from hazeline.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of the edges ``a, b``: the smallest node it is connected to.
+    """``node, root`` for every node of the edges ``a, b``: one node of its component for all of them.
 
-    Each round every node takes the smallest root of its neighbours and then the root of that root, so
-    rounds grow with the logarithm of the longest path. Each round is stored; only its number of changes
-    reaches the driver.
+    Each round every node hooks onto its smallest neighbour, and the edges are drawn anew between what the
+    nodes hooked onto, twice over; edges inside a component vanish, so the graph shrinks by a constant factor for
+    nodes named by hashes. Rounds are stored; only whether edges are left reaches the driver.
     """
     both = edges.where("a <> b").select("a", "b")
     both = stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "roots")
-    while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        nearer = labels.join(seen.withColumnRenamed("a", "node"), "node").select("node", "root", F.least("root", "near").alias("best"))
-        jump = labels.select(F.col("node").alias("best"), F.col("root").alias("over"))
-        fresh = stored(
-            nearer.join(jump, "best", "left").select("node", F.least("best", F.coalesce("over", "best")).alias("root"), F.col("root").alias("old")), "roots"
+    labels = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
+    while not both.isEmpty():
+        near = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("hook"))
+        near = stored(near, "hooks")
+        over = near.select(F.col("node").alias("hook"), F.col("hook").alias("next"))
+        near = stored(near.join(over, "hook").select("node", F.col("next").alias("hook")), "hooks")
+        labels = stored(
+            labels.alias("l").join(near.alias("n"), F.expr("l.root = n.node"), "left").select("l.node", F.expr("coalesce(n.hook, l.root)").alias("root")), "roots"
         )
-        labels = fresh.select("node", "root")
-        if fresh.where("root <> old").isEmpty():
-            return labels
+        first = both.join(near.select(F.col("node").alias("a"), F.col("hook").alias("x")), "a").select("x", "b")
+        second = first.join(near.select(F.col("node").alias("b"), F.col("hook").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        both = stored(second.where("a <> b").distinct(), "edges")
+    return labels

@@ -44,8 +44,8 @@ SKETCH = 64
 SLACK = 4.5
 #: Members of a bucket that are compared by brute force; members of a block in the exact comparison.
 SMALL, BLOCK = 48, 256
-#: Levels of splitting, and sketch positions sampled in a bucket.
-LEVELS, BRANCHES = 3, 3
+#: Sketch positions sampled in a large bucket, for every level of splitting.
+BRANCHES = (2, 2, 1)
 _RNG = np.random.default_rng(612)
 _SKETCH_XOR, _SKETCH_MUL, _PATH_XOR, _PATH_MUL = (_RNG.integers(1, 1 << 63, (256, 1), dtype=np.uint64) | U64(1) for _ in range(4))
 
@@ -184,22 +184,23 @@ def candidate_edges(sets: DataFrame, threshold: float) -> DataFrame:
     sketches = sets.select("sid", "sketch")
     members = sets.select("sid", F.explode("nodes").alias("node"))
     found = []
-    for level in range(LEVELS + 1):
-        sizes = members.groupBy("node").agg(F.count("*").alias("n"))
-        small = members.join(sizes.where((F.col("n") > 1) & (F.col("n") <= SMALL)).select("node"), "node", "left_semi")
-        large = members.join(sizes.where(F.col("n") > SMALL), "node")
+    for level in range(len(BRANCHES) + 1):
+        # stored, so that Spark can split the share of a hot bucket in the joins
+        sizes = stored(members.groupBy("node").agg(F.count("*").alias("n"), F.min("sid").alias("b")).where("n > 1"), f"sizes-{level}")
+        small = members.join(sizes.where(F.col("n") <= SMALL).select("node"), "node", "left_semi")
+        crowded = sizes.where(F.col("n") > SMALL)
+        if level == len(BRANCHES):
+            found.append(members.join(crowded, "node").select(F.col("sid").alias("a"), "b").where("a <> b"))
+        large = members.join(crowded.select("node"), "node", "left_semi")
         if level == 0:
             small, large = (x.join(sketches, "sid") for x in (small, large))
         found.append(small.select("node", "sid", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(_alike(least), edge))
-        if level == LEVELS:
-            heads = members.groupBy("node").agg(F.count("*").alias("n"), F.min("sid").alias("b")).where(F.col("n") > SMALL)
-            found.append(members.join(heads, "node").select(F.col("sid").alias("a"), "b").where("a <> b"))
+        if level == len(BRANCHES):
             break
-        parts = large.select("sid", "sketch", "node", F.explode(F.array(*map(F.lit, range(BRANCHES)))).alias("j"))
+        parts = large.select("sid", "sketch", "node", F.explode(F.array(*map(F.lit, range(BRANCHES[level])))).alias("j"))
         position = f"2 * pmod(xxhash64(node, j), {SKETCH}) + 1"
-        members = stored(
-            parts.select("sid", "sketch", F.expr(f"xxhash64(node, j, substring(sketch, cast({position} as int), 2))").alias("node")), f"paths-{level}"
-        )
+        child = F.expr(f"xxhash64(node, j, substring(sketch, cast({position} as int), 2))").alias("node")
+        members = stored(parts.select("sid", "sketch", child).distinct(), f"paths-{level}")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -266,7 +267,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     source = common.keyed(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType
-    repetitions = max(1, math.ceil(math.log(1 / miss) * LAM / threshold))
+    passes = math.prod(1 - (1 - threshold) ** b for b in BRANCHES)  # of two sets at the threshold, through all levels
+    repetitions = max(1, math.ceil(math.log(1 / miss) * LAM / (threshold * passes)))
     schema = T.StructType(
         [
             T.StructField("doc_id", id_type),
