@@ -40,7 +40,7 @@ LENGTH = 200
 #: Seed lengths of the first cut and of the cut of hot hashes; the last cut is the window itself.
 SEED, LONG_SEED = 48, 160
 #: Different pieces of one hash that go into an index together.
-MOST = 48
+MOST = 200
 MASK = (1 << 64) - 1
 #: Bytes of text in one index.
 INDEX_BYTES = 1 << 18
@@ -263,9 +263,8 @@ def _indexed(length: int, index_bytes: int) -> Callable:
         table = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
         data, starts = common.text_bytes(table.column("bytes"))
         string, offset = repeated_windows(data, starts, length)
-        new = np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1))[: len(string)]
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(string)) - 1
+        head = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1))[: len(string)])
+        tail = np.append(head[1:], len(string))[: len(head)] - 1
         rows = pa.array(string[head])
         start = table.column("start").to_numpy()[string[head]]
         return pa.RecordBatch.from_arrays(
@@ -358,7 +357,9 @@ def repeated_spans(
 
     cut = source.where(F.octet_length("text") >= length).mapInArrow(_cut(length, seed), T.StructType(piece))
     times = F.count("*") + F.sum("loops")
-    seeds = cut.groupBy("seed").agg(times.alias("n")).where("n > 1").select("seed")
+    # counts are stored before they are joined: both sides of the join are then dealt out alike, and Spark can
+    # split the share of a hot seed
+    seeds = common.stored(cut.groupBy("seed").agg(times.alias("n")).where("n > 1").select("seed"), "seeds")
     shared = common.stored(cut.join(seeds, "seed", "left_semi"), "pieces")
 
     def covered(rows: DataFrame) -> DataFrame:
@@ -376,7 +377,7 @@ def repeated_spans(
     spans = [covered(shared.join(copied, ["seed", "digest"], "left_semi"))]
 
     # different pieces with one seed: their bytes are asked of the documents
-    kinds = distinct.groupBy("seed").agg(times.alias("kinds")).where("kinds > 1")
+    kinds = common.stored(distinct.groupBy("seed").agg(times.alias("kinds")).where("kinds > 1"), "kinds")
     wanted = distinct.join(kinds.select("seed"), "seed", "left_semi")
     asked = wanted.groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("start", "windows", "seed", "digest", "loops", "again")).alias("asked")
@@ -385,8 +386,8 @@ def repeated_spans(
     level = common.stored(holders.select("s.doc_id", "s.th", "s.text", "a.asked").mapInArrow(_fetch(length), with_bytes), "piece-bytes")
 
     for next_seed in (max(seed, min(LONG_SEED, length)), length):
-        kinds = level.groupBy("seed").agg(times.alias("kinds"))
-        cool = level.join(kinds.where((F.col("kinds") > 1) & (F.col("kinds") <= most)).select("seed"), "seed", "left_semi")
+        kinds = common.stored(level.groupBy("seed").agg(times.alias("kinds")).where("kinds > 1"), "kinds")
+        cool = level.join(kinds.where(F.col("kinds") <= most).select("seed"), "seed", "left_semi")
         spans.append(cool.repartition("seed").sortWithinPartitions("seed").mapInArrow(_indexed(length, index_bytes), span))
         hot = level.join(kinds.where(F.col("kinds") > most).select("seed"), "seed", "left_semi")
         again = hot.mapInArrow(_recut(length, next_seed), with_bytes)
