@@ -37,13 +37,13 @@ from hazeline.llm.components import components
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: Chance that no repetition lets two sets at the threshold share a chosen token.
-MISS = 1e-6
+MISS = 1e-5
 LAM = 0.5
 SKETCH = 64
 #: Standard deviations below the threshold at which two sketches still make a candidate.
 SLACK = 4.5
 #: Members of a bucket that are compared by brute force; members of a block in the exact comparison.
-SMALL, BLOCK = 48, 256
+SMALL, BLOCK = 96, 256
 #: Sketch positions sampled in a large bucket, for every level of splitting.
 BRANCHES = (2, 2, 1)
 _RNG = np.random.default_rng(612)

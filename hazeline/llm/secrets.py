@@ -12,6 +12,8 @@ besides id and text are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ LEAST_RATIO = 0.5
 #: Documents with the smallest hash of the id that samples are taken from.
 SAMPLE = 4000
 _ASCII = 128
+#: Weight, in counts, of the chance of a character whatever stands before it.
+_SHRINK = 16.0
 #: Spans whose places are summed up together.
 _RUN = 256
 
@@ -103,22 +107,21 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 def log_ratios(samples: DataFrame) -> list[float]:
     """Log of random over ordinary chance of each character after each other, for ASCII codes ``a * 128 + b``.
 
-    One table of fixed size; counts are partial sums over the samples. A model's chance is shrunk towards the
-    uniform one over its identifier characters.
+    One table of fixed size; counts are partial sums over the samples. What follows a rare character is
+    shrunk towards how common the next character is in the model at all.
     """
     pair = F.explode(F.expr("transform(sequence(1, greatest(length(value) - 1, 1)), i -> struct(ascii(substring(value, i, 1)) AS a, ascii(substring(value, i + 1, 1)) AS b))"))
     counts = samples.where("length(value) > 1").select("random", pair.alias("p")).groupBy("random", "p.a", "p.b").count().collect()
-    table = {True: [[1.0] * _ASCII for _ in range(_ASCII)], False: [[1.0] * _ASCII for _ in range(_ASCII)]}
+    table = {kind: [[0] * _ASCII for _ in range(_ASCII)] for kind in (True, False)}
     for row in counts:  # at most 2 * 128 * 128
         if 0 <= row.a < _ASCII and 0 <= row.b < _ASCII:
             table[row.random][row.a][row.b] += row["count"]
-    import math
-
-    out = []
-    for a in range(_ASCII):
-        r, o = sum(table[True][a]), sum(table[False][a])
-        out += [math.log(table[True][a][b] / r) - math.log(table[False][a][b] / o) for b in range(_ASCII)]
-    return out
+    chance = {}
+    for kind, rows in table.items():
+        next_ones = [sum(r[b] for r in rows) + 0.5 for b in range(_ASCII)]
+        common = [x / sum(next_ones) for x in next_ones]
+        chance[kind] = [[(r[b] + _SHRINK * common[b]) / (sum(r) + _SHRINK) for b in range(_ASCII)] for r in rows]
+    return [math.log(chance[True][a][b] / chance[False][a][b]) for a in range(_ASCII) for b in range(_ASCII)]
 
 
 def scan(

@@ -99,7 +99,7 @@ def rebalanced(current: DataFrame, totals: DataFrame, shards: int) -> DataFrame:
 def stored_map(mapping: DataFrame, path: str) -> DataFrame:
     """Add the map to the table of versions at ``path``; returns all versions."""
     mapping.write.mode("append").partitionBy("version").parquet(path)
-    return mapping.sparkSession.read.parquet(path)
+    return mapping.sparkSession.read.schema("virtual_slot int, shard int, version int").parquet(path)
 
 
 def placed(rows: DataFrame, totals: DataFrame, mapping: DataFrame) -> DataFrame:
