@@ -23,11 +23,15 @@ def exact_mean(value: Column) -> Column:
     A sum of doubles shifts by a few last bits with the order of partial sums, enough to flip a
     rounded tie between two runs. So values are added up as whole millionths. They are split in
     two at bit 20, which leaves room for some 10^12 rows a group where one sum of longs would
-    overflow; decimals would do too but take ten times as long.
+    overflow; decimals would do too but take ten times as long. A group with a value that millionths do
+    not hold (infinite, beyond 9e12, or with more decimals) takes the plain mean.
     """
     number = value.cast("double")
     number = F.when(~F.isnan(number), number)
-    millionths = F.rint(number * F.lit(1e6)).cast("bigint")
+    held = F.abs(number) < F.lit(9e12)
+    scaled = F.when(held, F.rint(number * F.lit(1e6)))
+    millionths = scaled.cast("bigint")
+    plain = ~held | (F.abs(number - scaled / F.lit(1e6)) > F.lit(1e-9))
     high = F.sum(F.shiftright(millionths, 20))
     low = F.sum(millionths.bitwiseAND(F.lit((1 << 20) - 1)))
     count = F.nullif(F.count(number), F.lit(0))
@@ -36,7 +40,8 @@ def exact_mean(value: Column) -> Column:
     unit, millionth = F.lit(1 << 20).cast("decimal(7,0)"), F.lit("0.000001").cast("decimal(6,6)")
     large = (high.cast("decimal(19,0)") * unit + low.cast("decimal(19,0)")) * millionth
     fits = high.between(-(1 << 32), 1 << 32) & low.between(0, 1 << 52)
-    return F.when(fits, small).otherwise(large.cast("double")) / count
+    exact = F.when(fits, small).otherwise(large.cast("double")) / count
+    return F.when(F.max(F.coalesce(plain, F.lit(False))), F.avg(number)).otherwise(exact)
 
 
 def fixed(value: Column, digits: int) -> Column:

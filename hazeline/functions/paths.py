@@ -16,7 +16,8 @@ def object_path(ingested_at: Column, dataset: str, file_prefix: str | None = Non
 
 def path_of(day: Column, token: Column, dataset: str, file_prefix: str | None = None) -> Column:
     """Object path of an ingest date and an ingest text."""
-    prefix = file_prefix or find_dataset(dataset).file_prefix
+    feed = find_dataset(dataset)  # an unknown feed is an error, with a prefix too
+    prefix = file_prefix or feed.file_prefix
     return F.concat(
         F.lit(f"raw/{dataset}/ingest_date="),
         day.cast("string"),

@@ -52,24 +52,18 @@ def unique_failures(
 ) -> DataFrame:
     """Number of values that occur more than once, per column or group of columns; nulls are ignored.
 
-    All of them share one scan and one shuffle. Counting is by value with partial sums before the
-    shuffle, so a value repeated in a third of all rows is one row per input partition.
+    Values are compared in their own types, so instants an hour apart never read the same. Counting is by
+    value with partial sums before the shuffle, so a value repeated in a third of all rows is one row
+    per input partition.
     """
     groups = {"+".join(g): g for g in ((c,) if isinstance(c, str) else tuple(c) for c in columns)}
-    pairs = F.array(
-        *[F.struct(F.lit(name).alias("c"), _as_text(g).alias("v")) for name, g in groups.items()]
-    )
-    values = df.select(F.inline(pairs)).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.col("v").isNotNull() & (F.col("n") > 1)
-    return _counts(values, {f"{prefix}.{c}.unique": (F.col("c") == c) & repeated for c in groups})
-
-
-def _as_text(columns: Sequence[str]) -> Column:
-    """Null if any column is; no two different groups of values read the same."""
-    if len(columns) == 1:
-        return F.col(columns[0]).cast("string")
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    return F.when(known, F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
+    counted = []
+    for name, group in groups.items():
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
+        values = df.where(known).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        counted.append(values.where("n > 1").select(F.lit(name).alias("c")))
+    repeated = reduce(DataFrame.unionByName, counted)
+    return _counts(repeated, {f"{prefix}.{c}.unique": F.col("c") == c for c in groups})
 
 
 def metric_out_of_range(aqi_max: int = 500) -> Column:

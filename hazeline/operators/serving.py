@@ -135,24 +135,36 @@ def freshness(
 
 def peak_hour(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The row with the highest index, the earliest of several. Rows without an index are left out."""
-    order = [F.col("us_aqi").desc(), F.col(HOUR).asc_nulls_last()]
+    order = [F.col("us_aqi").desc(), *_by_hour(hourly)]
     return first_rows(hourly.where(F.col("us_aqi").isNotNull()), keys, order, 1)
 
 
 def current_hour(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The row of the earliest hour."""
-    return first_rows(hourly, keys, [F.col(HOUR).asc_nulls_last()], 1)
+    """The row of the earliest hour; of several, the one with the smallest place and record key."""
+    return first_rows(hourly, keys, _by_hour(hourly), 1)
+
+
+def _ties(hourly: DataFrame) -> list[str]:
+    """Columns that tell rows of one hour apart, so that no answer depends on the order of rows."""
+    return [c for c in ("latitude", "longitude", "record_key") if c in hourly.columns]
+
+
+def _by_hour(hourly: DataFrame) -> list[Column]:
+    return [F.col(HOUR).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in _ties(hourly)]]
 
 
 def current_delta(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Index of the earliest hour and how it differs from the hour after (0 if there is none)."""
-    two = first_rows(hourly.select(*keys, HOUR, "us_aqi"), keys, [F.col(HOUR).asc_nulls_last()], 2)
+    ties = [c for c in _ties(hourly) if c not in keys]
+    narrow = hourly.select(*keys, HOUR, "us_aqi", *ties)
+    two = first_rows(narrow, keys, _by_hour(narrow), 2)
+    place = F.when(F.col(HOUR).isNotNull(), F.struct(HOUR, *ties))
     return (
         two.groupBy(*keys)
         .agg(
             F.min(HOUR).alias(HOUR),
-            F.min_by("us_aqi", HOUR).alias("us_aqi"),
-            F.max_by("us_aqi", HOUR).alias("_next"),
+            F.min_by("us_aqi", place).alias("us_aqi"),
+            F.max_by("us_aqi", place).alias("_next"),
             F.count(F.lit(1)).alias("_rows"),
         )
         .where(F.col("_rows") > 0)
@@ -192,7 +204,9 @@ def status_rows(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         ("Source system", now["source_system"]),
         (
             "Coordinates",
-            F.concat(fixed(now["latitude"], 2), F.lit(", "), fixed(now["longitude"], 2)),
+            F.concat_ws(
+                ", ", *[F.coalesce(fixed(now[c], 2), F.lit("nan")) for c in ("latitude", "longitude")]
+            ),
         ),
         ("Peak forecast hour", minute_text(peak[HOUR])),
         ("Peak AQI band", F.when(peak.isNotNull(), aqi_band(peak["us_aqi"])["label"])),
@@ -239,12 +253,14 @@ def headline_cards(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def _now_and_peak(hourly: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     """Earliest row and peak row as structs, from one aggregation."""
     row = F.struct(*hourly.columns)
-    height = F.when(F.col("us_aqi").isNotNull(), F.struct(-F.col("us_aqi"), F.col(HOUR)))
+    ties = _ties(hourly)
+    place = F.when(F.col(HOUR).isNotNull(), F.struct(HOUR, *ties))
+    height = F.when(F.col("us_aqi").isNotNull(), F.struct(-F.col("us_aqi"), F.col(HOUR), *ties))
     return (
         hourly.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.min_by(row, F.col(HOUR)).alias("_now"),
+            F.min_by(row, place).alias("_now"),
             F.min_by(row, height).alias("_peak"),
             *more,
         )

@@ -8,7 +8,6 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from hazeline.functions.clock import ingest_instant
@@ -17,8 +16,6 @@ from hazeline.specs import FILE, INGEST_TOKEN
 
 # A key with more rows than this is not left to one task when every version is ranked.
 HOT_KEY_ROWS = 5_000_000
-# Most keys handled as hot. Any further key holds at most 1/10,000 of all rows.
-HOT_KEYS = 10_000
 
 
 def newest_first(tie_break: Sequence[str | Column] = ()) -> list[Column]:
@@ -59,29 +56,25 @@ def version_history(
     """Every row with its rank within its key.
 
     Ranking needs all rows of a key in order, so a plain window would put a key holding a third
-    of the table into one task. One pass over the key columns finds such keys; their rows are
+    of the table into one task. One pass over the key columns finds such keys, however many; their rows are
     range-partitioned by key *and* order, ranked slice by slice, and shifted by the size of the
     slices before. All other keys take the plain window.
     """
     ranked = _window_rank(keys, order).cast("bigint").alias(rank_column)
-    hot_keys = _hot_keys(df, keys, hot_key_rows)
-    if not hot_keys:
-        return df.select("*", ranked)
-
-    spark = df.sparkSession
     names = [f"_k{i}" for i in range(len(keys))]
-    key_type = T.StructType(
-        [T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)]
-    )
-    # At most HOT_KEYS rows.
-    hot = F.broadcast(spark.createDataFrame([tuple(r[:-1]) for r in hot_keys], key_type))
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(counts.where(F.col("_n") > hot_key_rows), "hot-keys")
+    hot_rows = hot.agg(F.sum("_n")).first()[0]
+    if not hot_rows:
+        return df.select("*", ranked)
+    hot = hot.select(*names)
     is_hot = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names))
     cold = df.join(hot, is_hot, "left_anti").select("*", ranked)
 
     # Copies that tie on every order column are told apart by where they lie in stored files. Read
     # from a shuffle instead, a repeated task could number them differently and lose one.
     stored = cut_lineage(df.join(hot, is_hot, "left_semi"), "hot-versions")
-    slices = 1 + ceil(sum(r[-1] for r in hot_keys) / hot_key_rows)
+    slices = 1 + ceil(hot_rows / hot_key_rows)
     placed = cut_lineage(
         stored.withColumn("_row", F.monotonically_increasing_id())
         .repartitionByRange(max(slices, 2), *keys, *order, "_row")
@@ -89,7 +82,7 @@ def version_history(
         "version-slices",
     )
     earlier = Window.partitionBy(*names).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice and key in it: at most slices + HOT_KEYS rows.
+    # One row per slice and key in it; how it is joined is left to Spark.
     renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
     shifts = (
         placed.groupBy(*renamed, F.col("_slice").alias("_s"))
@@ -100,7 +93,7 @@ def version_history(
     within = _window_rank([*keys, "_slice"], [*order, F.col("_row").asc()])
     hot_ranked = (
         placed.withColumn("_within", within)
-        .join(F.broadcast(shifts), same_slice)
+        .join(shifts, same_slice)
         .select(*df.columns, (F.col("_shift") + F.col("_within")).cast("bigint").alias(rank_column))
     )
     return cold.unionByName(hot_ranked)
@@ -110,10 +103,5 @@ def _window_rank(keys: Sequence[str], order: Sequence[Column]) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> list:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > more_than).orderBy(F.desc("_n")).limit(HOT_KEYS).collect()
-
-
 def _all(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)

@@ -19,6 +19,8 @@ def latest_staged(
     """Newest version per key. The default tie-break is the readings themselves, so a document
     that states an hour twice gives the same winner on every run."""
     ties = dataset.metric_columns if tie_break is None else tie_break
+    if "landed_at_utc" in staged.columns:  # of one file landed twice, the later landing
+        ties = ["landed_at_utc", *ties]
     return latest_version(staged, keys, newest_first(ties))
 
 

@@ -197,7 +197,7 @@ def stream_silver_query(spark, sf_dir):
     target = scratch_path(spark, "stream-out")
     run = stream_silver(spark, root, target, scratch_path(spark, "stream-state"), AQI)
     run.awaitTermination()
-    return spark.read.parquet(target).drop("ingest_date")
+    return spark.read.parquet(target).drop("ingest_date", "landed_at_utc")
 
 
 # -- versions and gold --------------------------------------------------------------------------

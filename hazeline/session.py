@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = spark.sparkContext.getCheckpointDir()
         if not root:

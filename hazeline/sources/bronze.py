@@ -15,12 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazeline.functions.paths import ingest_token
 from hazeline.operators.versions import latest_version
 from hazeline.specs import FILE, Dataset
 
 LANDING_PARTITIONS = ("dataset", "ingest_date")
-# Most repeated object paths that are broadcast; with more, all documents are ranked.
-BROADCAST_PATHS = 100_000
 LANDING_SCHEMA = T.StructType(
     [
         T.StructField(FILE, T.StringType()),
@@ -56,23 +55,49 @@ def read_landing(spark: SparkSession, root: str, dataset: Dataset | None = None)
 def latest_landing(landed: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """One document per object path: a path landed again replaces what was there.
 
-    Repeats are rare, so the paths are counted first, without payloads. Only documents of repeated
-    paths are then shuffled and ranked, unless there are too many of them to broadcast.
+    Repeats are rare, so the paths are counted first, without payloads; only documents of repeated paths
+    are ranked. Whether the list of those paths is broadcast is left to Spark. Documents without a path
+    are all kept.
     """
     newest = list(order) or [F.col("landed_at_utc").desc_nulls_last(), F.col("payload").desc()]
     counts = landed.groupBy(FILE).agg(F.count(F.lit(1)).alias("_n"))
     repeated = counts.where((F.col("_n") > 1) & F.col(FILE).isNotNull()).select(FILE)
-    found = repeated.limit(BROADCAST_PATHS + 1).count()
-    if found == 0:
-        return landed
-    if found > BROADCAST_PATHS:
-        return latest_version(landed, [FILE], newest)
-    paths = F.broadcast(repeated)
-    once = landed.join(paths, FILE, "left_anti")
-    again = landed.join(paths, FILE, "left_semi")
+    once = landed.join(repeated, FILE, "left_anti")
+    again = landed.join(repeated, FILE, "left_semi")
     return once.unionByName(latest_version(again, [FILE], newest))
 
 
+def land_tree(
+    spark: SparkSession, tree: str, root: str, dataset: Dataset, pattern: str = "*.json"
+) -> None:
+    """Land the files of an existing document tree, at any depth, with their text untouched.
+
+    The path of a file is its lineage, its name carries the ingest time, and its time of change stands
+    for the time it landed. Listing the files takes driver memory; a tree of billions of files is best
+    landed one date folder at a time.
+    """
+    files = (
+        spark.read.format("text")
+        .option("wholetext", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .load(tree)
+    )
+    token = ingest_token(F.col("_metadata.file_path"))
+    land_documents(
+        files.select(
+            F.col("_metadata.file_path").alias(FILE),
+            F.col("value").alias("payload"),
+            F.to_timestamp_ntz(
+                F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            ).alias("landed_at_utc"),
+            F.lit(dataset.name).alias("dataset"),
+            F.to_date(F.substring(token, 1, 8), "yyyyMMdd").alias("ingest_date"),
+        ),
+        root,
+    )
+
+
 def parse_documents(landed: DataFrame, dataset: Dataset) -> DataFrame:
     """``payload`` text into ``latitude, longitude, hourly``; a text that does not fit is an error.
 

@@ -56,7 +56,8 @@ def has_model(spark: SparkSession, path: str) -> bool:
 
 def load_hourly(mart: DataFrame) -> DataFrame:
     """The mart as served, in order of the hour."""
-    return served_columns(mart).orderBy(F.col(HOUR).asc_nulls_last())
+    place = [F.col(c).asc_nulls_last() for c in ("latitude", "longitude")]
+    return served_columns(mart).orderBy(F.col(HOUR).asc_nulls_last(), *place)
 
 
 def served_columns(mart: DataFrame) -> DataFrame:

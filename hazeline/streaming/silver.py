@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hazeline.plans.silver import silver_from_landing
 from hazeline.sources.bronze import LANDING_SCHEMA
-from hazeline.specs import Dataset
+from hazeline.specs import FILE, Dataset
 
 
 def landing_stream(
@@ -21,6 +21,18 @@ def landing_stream(
     return reader.parquet(root).where(F.col("dataset") == dataset.name)
 
 
+def current_rows(staged: DataFrame) -> DataFrame:
+    """Silver rows of the last landing of each file: a path landed again replaces what was there.
+
+    The stream appends the rows of every landing; this is what a batch run over the newest documents
+    holds. Counts per file are joined as Spark sees fit; rows without a file are all kept.
+    """
+    last = staged.where(F.col(FILE).isNotNull()).groupBy(F.col(FILE).alias("_file"))
+    last = last.agg(F.max("landed_at_utc").alias("_last"))
+    older = (staged[FILE] == last["_file"]) & ~staged["landed_at_utc"].eqNullSafe(last["_last"])
+    return staged.join(last, older, "left_anti")
+
+
 def stream_silver(
     spark: SparkSession,
     root: str,
@@ -36,7 +48,9 @@ def stream_silver(
     recomputed in batch, as choosing the newest version needs every version.
     """
     rows = silver_from_landing(
-        landing_stream(spark, root, dataset, max_bytes), dataset, carry=("ingest_date",)
+        landing_stream(spark, root, dataset, max_bytes),
+        dataset,
+        carry=("ingest_date", "landed_at_utc"),
     )
     return (
         rows.writeStream.format("parquet")

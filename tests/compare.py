@@ -63,7 +63,7 @@ def main() -> int:
     from hazeline.session import local_session
 
     sf_dir = DATA / (sys.argv[1] if len(sys.argv) > 1 else "sf0.01")
-    chosen = sys.argv[2:] or list(entry.queries())
+    chosen = sys.argv[2:] or list(entry.oracle_sql())
     spark, con = local_session(), connect(sf_dir)
     sql, bad = entry.oracle_sql(), 0
     for name in chosen:

@@ -8,11 +8,12 @@ import pytest
 from hazeline.operators.quality import DataQualityError
 from hazeline.operators.validation import valid_documents
 from hazeline.plans.build import build
+from hazeline.plans.gold import gold_mart
 from hazeline.plans.silver import silver, silver_from_landing
 from hazeline.sources import bronze
 from hazeline.sources.tables import load_hourly, write_model
 from hazeline.specs import AQI, FILE, HOUR, MART_COLUMNS, WEATHER
-from hazeline.streaming.silver import stream_silver
+from hazeline.streaming.silver import current_rows, stream_silver
 from tests.conftest import frame, plan_of, rows
 
 LANDING_DDL = (
@@ -132,9 +133,29 @@ def test_landing_appends_verbatim(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dataset" in plan_of(only)
 
 
-@pytest.mark.parametrize("broadcast_paths", [bronze.BROADCAST_PATHS, 0])
-def test_landing_again_replaces(spark, monkeypatch, broadcast_paths):
-    monkeypatch.setattr(bronze, "BROADCAST_PATHS", broadcast_paths)
+def test_documents_without_a_path_are_all_kept(spark):
+    landed = frame(
+        spark,
+        LANDING_DDL,
+        (None, "n1", datetime(2026, 3, 24, 12), "aqi", date(2026, 3, 24)),
+        (None, "n2", datetime(2026, 3, 24, 12), "aqi", date(2026, 3, 24)),
+        doc(AQI, "1", "old", datetime(2026, 3, 24, 12)),
+        doc(AQI, "1", "new", datetime(2026, 3, 24, 13)),
+    )
+    assert {r["payload"] for r in bronze.latest_landing(landed).collect()} == {"n1", "n2", "new"}
+
+
+def test_a_tree_is_landed_with_its_paths(spark, tmp_path):
+    folder = tmp_path / "tree" / "raw" / "aqi" / "ingest_date=2026-03-24"
+    folder.mkdir(parents=True)
+    (folder / "aqi_raw_20260324T123456Z.json").write_text(VERBATIM)
+    bronze.land_tree(spark, str(tmp_path / "tree"), str(tmp_path / "landing"), AQI)
+    got = bronze.read_landing(spark, str(tmp_path / "landing"), AQI).first()
+    assert got["payload"] == VERBATIM and got["ingest_date"] == date(2026, 3, 24)
+    assert got[bronze.FILE].endswith("aqi_raw_20260324T123456Z.json")
+
+
+def test_landing_again_replaces(spark):
     landed = frame(
         spark,
         LANDING_DDL,
@@ -298,7 +319,7 @@ def test_stream_picks_up_only_new_documents(spark, tmp_path):
 
     def run():
         stream_silver(spark, root, target, state, AQI, max_bytes=1 << 26).awaitTermination()
-        return spark.read.parquet(target).drop("ingest_date")
+        return spark.read.parquet(target).drop("ingest_date", "landed_at_utc")
 
     land_good(spark, root)
     assert run().count() == 4
@@ -308,3 +329,19 @@ def test_stream_picks_up_only_new_documents(spark, tmp_path):
     assert run().count() == 6
     batch = silver_from_landing(bronze.read_landing(spark, root, AQI), AQI)
     assert rows(streamed.select(batch.columns)) == rows(batch)
+
+
+def test_streamed_rows_of_a_file_landed_again_equal_the_batch(spark, tmp_path):
+    root, target, state = (str(tmp_path / n) for n in ("landing", "silver", "state"))
+    for hour, text in ((12, VERBATIM.replace("[42,", "[90,")), (13, VERBATIM.replace("[42,", "[40,"))):
+        again = doc(AQI, "20260324T123456Z", text, datetime(2026, 3, 24, hour))
+        bronze.land_documents(frame(spark, LANDING_DDL, again), root)
+        stream_silver(spark, root, target, state, AQI).awaitTermination()
+    weather = frame(spark, LANDING_DDL, doc(WEATHER, "20260324T123456Z", weather_text()))
+    weather = silver_from_landing(weather, WEATHER)
+    newest = bronze.latest_landing(bronze.read_landing(spark, root, AQI))
+    batch = gold_mart(silver_from_landing(newest, AQI), weather)
+    streamed = spark.read.parquet(target)
+    assert rows(gold_mart(current_rows(streamed), weather)) == rows(batch)
+    assert rows(gold_mart(streamed, weather)) == rows(batch)
+    assert batch.agg({"us_aqi": "min"}).first()[0] == 40

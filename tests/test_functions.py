@@ -203,3 +203,12 @@ def test_record_key_is_md5_of_the_joined_text(spark):
     key = one(spark, paths.record_key(ts("2026-03-24 00:00"), F.lit("20260323T170000Z")))
     assert key == hashlib.md5(b"2026-03-24 00:00:00|20260323T170000Z").hexdigest()
     assert one(spark, paths.record_key(F.lit("a"), F.lit(None).cast("string"))) is None
+
+
+@pytest.mark.parametrize(
+    "values, mean",
+    [((1.0, float("inf")), float("inf")), ((1e13, 3e13), 2e13), ((1e-8, 3e-8), 2e-8)],
+)
+def test_exact_mean_of_values_millionths_do_not_hold(spark, values, mean):
+    df = frame(spark, "v double", *[(v,) for v in values])
+    assert df.agg(numbers.exact_mean(F.col("v"))).first()[0] == pytest.approx(mean)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from hazeline.operators.versions import version_history
+from hazeline.plans.queries import QUERIES
 from tests.compare import DATA
 from tests.conftest import plan_of
 
@@ -38,7 +39,7 @@ needs_data = pytest.mark.skipif(not SMALL.exists(), reason="no test data here")
 
 
 @needs_data
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_query_leaves_the_fast_path(spark, name):
     plan = plan_of(contract.queries()[name](spark, str(SMALL)))
     assert not [bad for bad in NEVER if bad in plan]

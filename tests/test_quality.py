@@ -174,3 +174,16 @@ def test_unique_over_groups_of_columns(spark):
     df = frame(spark, "a string, b string, c string", *data)
     found = outcome(quality.unique_failures(df, [["a", "b"], ["a", "b", "c"], "c"], "t"))
     assert found == {"t.a+b.unique": 1, "t.a+b+c.unique": 0, "t.c.unique": 1}
+
+
+def test_uniqueness_tells_instants_of_a_repeated_hour_apart(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            "select explode(array(timestamp'2024-11-03 05:30:00Z', timestamp'2024-11-03 06:30:00Z')) as t"
+        )
+        failing = {r[0]: r[1] for r in quality.unique_failures(df, ["t"], "m").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert failing == {"m.t.unique": 0}

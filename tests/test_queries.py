@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from hazeline.plans.oracle import ORACLE
+from hazeline.plans.queries import QUERIES
 from tests.compare import DATA, connect, difference
 
 SMALL = DATA / "sf0.001"
@@ -19,14 +21,16 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, str(SMALL))
     assert difference(df, duck, contract.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items()
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark, duck):

@@ -251,3 +251,12 @@ def test_views_of_a_window(spark):
     assert {r["metric"] for r in chosen.collect()} == {"PM2.5", "PM10"}
     with pytest.raises(ValueError, match="ozone"):
         views(df, series=["ozone"])
+
+
+def test_answers_do_not_depend_on_the_order_of_rows(spark):
+    ddl = "forecast_timestamp_local timestamp_ntz, us_aqi int, latitude double, longitude double"
+    data = [(datetime(2026, 3, 24, 0), 400, 13.0, 100.0), (datetime(2026, 3, 24, 0), 10, 12.0, 100.0)]
+    for order in (data, data[::-1]):
+        df = frame(spark, ddl, *order).coalesce(1)
+        assert serving.current_hour(df).first()["us_aqi"] == 10
+        assert serving.current_delta(df).first()["us_aqi"] == 10
