@@ -128,7 +128,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[:-size] = rank[size:] + 1
         pair = rank * (n + 2) + after
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)  # equal pairs get equal ranks, in whatever order they come
         step = np.append(0, pair[order][1:] != pair[order][:-1])
         fresh = np.cumsum(step)
         rank = np.empty(n, np.int64)
@@ -389,7 +389,8 @@ def repeated_spans(
         kinds = common.stored(level.groupBy("seed").agg(times.alias("kinds")).where("kinds > 1"), "kinds")
         cool = level.join(kinds.where(F.col("kinds") <= most).select("seed"), "seed", "left_semi")
         spans.append(cool.repartition("seed").sortWithinPartitions("seed").mapInArrow(_indexed(length, index_bytes), span))
-        hot = level.join(kinds.where(F.col("kinds") > most).select("seed"), "seed", "left_semi")
+        # pieces of hot seeds lie in few partitions; they are dealt out evenly before they grow in number
+        hot = level.join(kinds.where(F.col("kinds") > most).select("seed"), "seed", "left_semi").hint("rebalance")
         again = hot.mapInArrow(_recut(length, next_seed), with_bytes)
         if next_seed < length:
             again = common.stored(again, "hot-pieces")
