@@ -386,11 +386,12 @@ def repeated_spans(
     level = common.stored(holders.select("s.doc_id", "s.th", "s.text", "a.asked").mapInArrow(_fetch(length), with_bytes), "piece-bytes")
 
     for next_seed in (max(seed, min(LONG_SEED, length)), length):
+        fit = most if next_seed < length else 4 * most  # pieces of the second cut are shorter
         kinds = common.stored(level.groupBy("seed").agg(times.alias("kinds")).where("kinds > 1"), "kinds")
-        cool = level.join(kinds.where(F.col("kinds") <= most).select("seed"), "seed", "left_semi")
+        cool = level.join(kinds.where(F.col("kinds") <= fit).select("seed"), "seed", "left_semi")
         spans.append(cool.repartition("seed").sortWithinPartitions("seed").mapInArrow(_indexed(length, index_bytes), span))
         # pieces of hot seeds lie in few partitions; they are dealt out evenly before they grow in number
-        hot = level.join(kinds.where(F.col("kinds") > most).select("seed"), "seed", "left_semi").hint("rebalance")
+        hot = level.join(kinds.where(F.col("kinds") > fit).select("seed"), "seed", "left_semi").hint("rebalance")
         again = hot.mapInArrow(_recut(length, next_seed), with_bytes)
         if next_seed < length:
             again = common.stored(again, "hot-pieces")
