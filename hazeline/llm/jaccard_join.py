@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,6 +233,23 @@ def intersections(sets: list[np.ndarray], others: list[np.ndarray] | None = None
     return out
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they are shuffled twice, and Spark's own codec sees only small blocks."""
+    codec = zstandard.ZstdCompressor(level=3)
+    for batch in common.slices(batches):
+        data, bounds = common.text_bytes(batch.column("text"))
+        raw = memoryview(np.ascontiguousarray(data))
+        packed = [codec.compress(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(packed, pa.binary())], ["doc_id", "th", "packed"])
+
+
+def _unpacked(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of compressed texts, and where each starts (one more entry for the end)."""
+    codec = zstandard.ZstdDecompressor()
+    texts = [codec.decompress(p.as_buffer()) for p in packed]
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 def _exact(threshold: float) -> Callable:
     """Links of every member inside one comparison of blocks, and the first member it is connected to."""
 
@@ -242,8 +260,7 @@ def _exact(threshold: float) -> Callable:
             group = group.take(pa.array(firsts))
             ids = [ids[k] for k in firsts]
             blocks = group.column("block").to_numpy()
-            data, bounds = common.text_bytes(group.column("text"))
-            tokens = shingle_sets(data, bounds)
+            tokens = shingle_sets(*_unpacked(group.column("packed")))
             sizes = np.array([len(t) for t in tokens])
             shared = intersections(tokens)
             linked = shared >= threshold * (sizes[:, None] + sizes[None, :] - shared) - 1e-9
@@ -294,9 +311,10 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .join(sets.select("sid", F.col("least.doc_id").alias("doc_id"), F.col("least.th").alias("th")), "sid")
         .withColumn("block", F.expr("cast(pmod(xxhash64(sid), blocks) as int)"))
     )
-    texts = source.alias("s").join(asked.alias("a"), F.expr("s.doc_id <=> a.doc_id AND s.th = a.th")).select("a.sid", "a.cid", "a.block", "a.blocks", "s.text")
-    facing = texts.select("sid", "cid", "block", "text", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    facing = facing.select("sid", "cid", "block", "text", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    packed = source.mapInArrow(_packed, T.StructType([*schema.fields[:2], T.StructField("packed", T.BinaryType())]))
+    texts = packed.alias("s").join(asked.alias("a"), F.expr("s.doc_id <=> a.doc_id AND s.th = a.th")).select("a.sid", "a.cid", "a.block", "a.blocks", "s.packed")
+    facing = texts.select("sid", "cid", "block", "packed", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    facing = facing.select("sid", "cid", "block", "packed", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     links = T.StructType([T.StructField("sid", T.BinaryType()), T.StructField("root", T.BinaryType()), T.StructField("links", T.LongType())])
     verified = stored(
         facing.repartition("cid", "low", "high").sortWithinPartitions("cid", "low", "high", "sid").mapInArrow(_exact(threshold), links), "links"
