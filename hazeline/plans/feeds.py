@@ -1,6 +1,6 @@
 """Feeds derived from an ``events`` table, so that every operator can run on given data.
 
-Clicks and views become the AQI feed, purchases and signups the weather feed. An event stands
+Clicks, views and errors become the AQI feed, purchases and signups the weather feed. An event stands
 either for one silver row (``*_feed``) or for one raw document that states the hour of the event
 and the three after it (``documents``). Both are row by row: no shuffle, and the size of a document
 does not depend on the data.
@@ -20,7 +20,7 @@ from hazeline.specs import AQI, DATE, FILE, HOUR, INGEST_TOKEN, WEATHER, Dataset
 
 FILE_PREFIX = "feed_raw"
 LATITUDE, LONGITUDE = 13.75, 100.5
-EVENT_TYPES = {AQI.name: ("click", "view"), WEATHER.name: ("purchase", "signup")}
+EVENT_TYPES = {AQI.name: ("click", "view", "error"), WEATHER.name: ("purchase", "signup")}
 # Hours one document covers.
 HOURS = 4
 # What becomes of the event value in each document field.

@@ -280,21 +280,20 @@ def dq_weather_range(spark, sf_dir):
     return quality.weather_range_violations(mart(spark, sf_dir))
 
 
-def click_hours(spark, sf_dir, *kept):
-    clicks = feed(events(spark, sf_dir).where(F.col("event_type") == "click"), AQI)
-    return clicks.select(*kept, HOUR)
+def feed_hours(spark, sf_dir, *kept):
+    return staged(spark, sf_dir, AQI).select(*kept, HOUR)
 
 
 def dq_hourly_gaps(spark, sf_dir):
-    return quality.hourly_gaps(click_hours(spark, sf_dir).distinct())
+    return quality.hourly_gaps(feed_hours(spark, sf_dir).distinct())
 
 
 def dq_hourly_gaps_repeats(spark, sf_dir):
-    return quality.hourly_gaps(click_hours(spark, sf_dir))
+    return quality.hourly_gaps(feed_hours(spark, sf_dir))
 
 
 def dq_hourly_gaps_by_user(spark, sf_dir):
-    return quality.hourly_gaps(click_hours(spark, sf_dir, "user_id"), keys=["user_id"])
+    return quality.hourly_gaps(feed_hours(spark, sf_dir, "user_id"), keys=["user_id"])
 
 
 def dq_report(spark, sf_dir):

@@ -61,7 +61,7 @@ def test_scans_read_only_what_is_needed(spark):
     plan = plan_of(contract.queries()["freshness"](spark, str(SMALL)))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
     plan = plan_of(contract.queries()["melt_default_metric"](spark, str(SMALL)))
-    assert "PushedFilters: [In(event_type, [click,view])]" in plan
+    assert "PushedFilters: [In(event_type, [click,error,view])]" in plan
     assert "props" not in plan
 
 
