@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 CODES = {"<": "%3C", "[": "%5B"}
 TURN = "array<struct<role:string,text:string>>"
+#: Jackson's own limit of 20,000,000 characters makes a longer text null without an error.
+JSON_OPTIONS = {"maxStringLen": "2147483647"}
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,7 @@ def _turns(layout: Layout) -> Column:
 
 def canonical(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``conv_id, layout, turns`` of ``conv_id, record``: the mapping whose fingerprint the record has."""
-    parsed = records.select("conv_id", "record", F.from_json("record", _schema(layouts)).alias("value"))
+    parsed = records.select("conv_id", "record", F.from_json("record", _schema(layouts), JSON_OPTIONS).alias("value"))
     marked = parsed.select("conv_id", "value", fingerprint(paths(layouts)).alias("own"))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
     for layout in reversed(layouts):

@@ -350,6 +350,16 @@ PERSONAL = [
 ]
 
 
+def test_texts_above_twenty_million_characters(spark):
+    long = F.repeat(F.lit("abcdefgh"), 3_000_000)
+    pair = F.to_json(F.struct(long.alias("prompt"), F.lit("short").alias("response")))
+    turn = F.struct(F.lit("user").alias("role"), long.alias("content"))
+    listed = F.to_json(F.struct(F.array(turn, turn).alias("messages")))
+    records = spark.range(2).select(F.col("id").alias("conv_id"), F.when(F.col("id") == 0, pair).otherwise(listed).alias("record"))
+    got = chat.canonical(records).select("conv_id", "layout", F.transform("turns", lambda t: F.length(t["text"])).alias("n"))
+    assert sorted(map(tuple, got.collect())) == [(0, "prompt", [24_000_000, 5]), (1, "messages", [24_000_000, 24_000_000])]
+
+
 def test_personal_base_spans(spark, nothing):
     docs = spark.createDataFrame([(i, t, "s") for i, t in PERSONAL], "doc_id long, text string, spans string")
     got = {r["doc_id"]: r for r in personal.find_personal(docs).collect()}
