@@ -1,13 +1,14 @@
 """Secret scan on DataFrame functions: patterns, and Markov models of characters.
 
 Two first-order character models, one of random strings and one of ordinary identifiers, are trained from
-labelled samples. A candidate (a long run of identifier characters with a digit and a letter, or mixed case)
+samples that the patterns label. A candidate (a long run of identifier characters with a digit and a letter, or mixed case)
 is a secret when the log-likelihood ratio per character of the two models is above a threshold. Patterns with
 fixed forms are found besides and always stay.
 
 Places are code points, the end is exclusive. A null or empty text has no spans. Rows alike in id and text get
-equal rows. Without samples of a kind its model is uniform. A text of any size is scanned whole. Columns
-besides id and text are not read; an empty table gives an empty result.
+equal rows. The samples are the pattern matches and the ordinary words of all documents; without samples of a
+kind there are no markov spans. A text of any size is scanned whole. Columns besides id and text are not read;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ HEX_CHARS = 16
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Fewest nats per character by which a candidate must look more random than ordinary.
 LEAST_RATIO = 0.5
-#: Documents with the smallest hash of the id that samples are taken from.
-SAMPLE = 4000
 _ASCII = 128
 #: Weight, in counts, of the chance of a character whatever stands before it.
 _SHRINK = 16.0
@@ -85,37 +84,44 @@ def _mixed(value: Column) -> Column:
     return (value.rlike("[0-9]") & value.rlike("[A-Za-z]")) | (value.rlike("[a-z][A-Z]") & value.rlike("[A-Z].*[A-Z]"))
 
 
-def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """``value, random`` from at most ``sample`` documents: values of the patterns, and ordinary long words."""
-    order = docs.select(F.xxhash64(id_col, text_col).alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if order is None:
-        order = 0
-    few = docs.where(F.xxhash64(docs[id_col], docs[text_col]) <= order)
-    found = _found(few, id_col, text_col)
-    value = F.regexp_extract("s.m", ASSIGN, 1)
-    random = [
-        found.select(F.explode("assign").alias("s")).select(value.alias("value")),
-        found.select(F.explode("access").alias("s")).select(F.col("s.m").alias("value")),
-        found.select(F.explode("hex").alias("s")).where(F.col("s.m").rlike("[a-f]")).select(F.col("s.m").alias("value")),
-    ]
-    words = F.regexp_extract_all(F.coalesce(few[text_col].cast("string"), F.lit("")), F.lit("[A-Za-z][A-Za-z_-]{7,}"), F.lit(0))
-    ordinary = few.select(F.explode(words).alias("value")).select("value", F.lit(False).alias("random"))
-    positive = random[0].unionByName(random[1]).unionByName(random[2]).select("value", F.lit(True).alias("random"))
-    return positive.unionByName(ordinary)
+def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``value, random`` of all documents in one pass: values of the patterns, and ordinary long words."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    hexes = HEX.replace("+", f"{{{HEX_CHARS},}}")
+
+    def all_of(pattern: str, group: int) -> Column:
+        return F.expr(f"regexp_extract_all(text, '{_quoted(pattern)}', {group})")
+
+    secret = F.concat(
+        F.filter(all_of(ASSIGN, 1), lambda m: F.length(m) >= ASSIGN_CHARS),
+        F.filter(all_of(ACCESS, 0), lambda m: F.length(m) >= ACCESS_CHARS),
+        F.filter(all_of(hexes, 0), lambda m: m.rlike("[a-f]")),
+    )
+
+    def kind(values: Column, random: bool) -> Column:
+        return F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(random).alias("random")))
+
+    both = F.concat(kind(secret, True), kind(all_of("[A-Za-z][A-Za-z_-]{7,}", 0), False))
+    return docs.select(text.alias("text")).select(F.inline(both))
 
 
 def log_ratios(samples: DataFrame) -> list[float]:
     """Log of random over ordinary chance of each character after each other, for ASCII codes ``a * 128 + b``.
 
-    One table of fixed size; counts are partial sums over the samples. What follows a rare character is
-    shrunk towards how common the next character is in the model at all.
+    One table of fixed size; counts are partial sums over the samples, of which equal ones are counted first.
+    What follows a rare character is shrunk towards how common the next character is in the model at all.
+    Empty if a kind has no sample: two models are needed for a ratio.
     """
-    pair = F.explode(F.expr("transform(sequence(1, greatest(length(value) - 1, 1)), i -> struct(ascii(substring(value, i, 1)) AS a, ascii(substring(value, i + 1, 1)) AS b))"))
-    counts = samples.where("length(value) > 1").select("random", pair.alias("p")).groupBy("random", "p.a", "p.b").count().collect()
+    values = samples.where("length(value) > 1").groupBy("random", "value").agg(F.count("*").alias("n"))
+    codes = values.select("random", "n", F.expr("transform(split(value, ''), c -> ascii(c))").alias("c"))
+    pairs = codes.select("random", "n", F.explode(F.arrays_zip(F.expr("slice(c, 1, size(c) - 1)").alias("a"), F.expr("slice(c, 2, size(c) - 1)").alias("b"))).alias("p"))
+    counts = pairs.where(f"p.a < {_ASCII} AND p.b < {_ASCII}").groupBy("random", "p.a", "p.b").agg(F.sum("n").alias("count")).collect()
     table = {kind: [[0] * _ASCII for _ in range(_ASCII)] for kind in (True, False)}
     for row in counts:  # at most 2 * 128 * 128
         if 0 <= row.a < _ASCII and 0 <= row.b < _ASCII:
             table[row.random][row.a][row.b] += row["count"]
+    if not all(any(map(any, rows)) for rows in table.values()):
+        return []
     chance = {}
     for kind, rows in table.items():
         next_ones = [sum(r[b] for r in rows) + 0.5 for b in range(_ASCII)]
@@ -131,13 +137,16 @@ def scan(
     text_col: str = "text",
     least_ratio: float = LEAST_RATIO,
 ) -> DataFrame:
-    """``doc_id, assign, access, hex, markov``: arrays of (start, end, m); ``markov`` holds what the models add."""
+    """``doc_id, assign, access, hex, markov``: arrays of (start, end, m); ``markov`` holds what the models add.
+
+    Without ``ratios`` they add nothing.
+    """
     joined = ",".join(f"{x:.5f}" for x in ratios)
     found = _found(docs, id_col, text_col)
     table = f"cast(split('{joined}', ',') AS array<double>)"  # folded to a literal once
     total = f"""aggregate(sequence(1, length(x.m) - 1), 0D, (t, i) -> t + element_at({table},
         ascii(substring(x.m, i, 1)) * {_ASCII} + ascii(substring(x.m, i + 1, 1)) + 1))"""
-    likely = F.expr(f"filter(candidates, x -> {total} / (length(x.m) - 1) >= {least_ratio})")
+    likely = F.expr(f"filter(candidates, x -> {total} / (length(x.m) - 1) >= {least_ratio})" if ratios else "filter(candidates, x -> false)")
     mixed = F.filter("candidates", lambda x: _mixed(x["m"]))
     return found.withColumn("candidates", mixed).select("doc_id", "assign", "access", "hex", likely.alias("markov"))
 

@@ -198,6 +198,24 @@ def test_markov_models_tell_random_from_ordinary(spark):
     assert got == {1: 1, 2: 0}
 
 
+def test_markov_models_learn_from_all_documents(spark):
+    rare = F.when(F.col("id") >= 5900, F.concat(F.lit("password: "), F.sha1(F.col("id").cast("string")))).otherwise("ordinary customers")
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), rare.alias("text"))
+    got = {(r["random"], r["value"]): r["n"] for r in secrets.labelled(docs).groupBy("random", "value").agg(F.count("*").alias("n")).collect()}
+    assert got[False, "ordinary"] == got[False, "customers"] == 5900
+    for k in range(5900, 6000):
+        assert got[True, hashlib.sha1(str(k).encode()).hexdigest()] == 2  # by the assignment and as a hex run
+
+
+def test_no_markov_spans_without_samples_of_a_kind(spark):
+    text = "see invoice_2024_customer_list and /articles/2024/05/weather-report of customer_address_line_2 yesterday"
+    clean = "customers reported articles about yesterday's weather-report and customer_address with invoice_list"
+    docs = spark.createDataFrame([(1, text)] + [(k, clean) for k in range(2, 300)], "doc_id long, text string")
+    ratios = secrets.log_ratios(secrets.labelled(docs))
+    assert ratios == []
+    assert {r["n_markov"] for r in secrets.report(secrets.scan(docs, ratios)).collect()} == {0}
+
+
 def _classes(texts, threshold=0.8):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []
