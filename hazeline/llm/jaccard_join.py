@@ -2,9 +2,9 @@
 
 Texts with one shingle set are one class; only classes are joined. In every repetition a set follows the
 tokens whose hash falls below ``1 / (LAM * size)``, so two sets above the threshold share at least
-``threshold / LAM`` chosen tokens in expectation; the number of repetitions follows from the recall asked
-for. A chosen token is a bucket. Small buckets are compared by brute force on min-hash sketches. A larger one
-is split again on sampled tokens of the sketches, each member going on under three sampled positions, until
+``threshold / LAM`` chosen tokens in expectation. The number of repetitions, the least agreement of sketches and the
+splits of small sets follow from the recall asked for (``Plan``). A chosen token is a bucket. Small buckets are compared by brute force on min-hash sketches. A larger one
+is split again on sampled tokens of the sketches, each member going on under a few sampled positions, until
 its parts are small; what is alike on every level stays together as one candidate group.
 
 Candidates form groups; inside each group the sets are compared exactly, so a link is never guessed and every
@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,20 +38,84 @@ from hazeline.llm.components import components
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-#: Chance that no repetition lets two sets at the threshold share a chosen token.
-MISS = 1e-5
+#: Chance that two sets at the threshold are no candidates: tokens, splits and sketches together, for any size.
+MISS = 1e-6
 LAM = 0.5
 SKETCH = 64
-#: Standard deviations below the threshold at which two sketches still make a candidate.
-SLACK = 4.5
 #: Members of a bucket that are compared by brute force; members of a block in the exact comparison.
 SMALL, BLOCK = 96, 256
-#: Sketch positions sampled in a large bucket, for every level of splitting.
+#: Sketch positions sampled in a large bucket, for every level of splitting; small sets may need more.
 BRANCHES = (2, 2, 1)
 _RNG = np.random.default_rng(612)
 _SKETCH_XOR, _SKETCH_MUL, _PATH_XOR, _PATH_MUL = (_RNG.integers(1, 1 << 63, (256, 1), dtype=np.uint64) | U64(1) for _ in range(4))
 
 
+@dataclass(frozen=True)
+class Plan:
+    """What keeps the loss of two sets at the threshold below the one asked for."""
+
+    least: int  # equal sketch positions that make a candidate
+    repetitions: int
+    branches: tuple[tuple[int, tuple[int, ...]], ...]  # (largest size, positions by level), sizes ascending
+
+
+def _agreeing(threshold: float) -> np.ndarray:
+    """Chance of every number of equal positions in the sketches of two sets at the threshold."""
+    return np.array([math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k) for k in range(SKETCH + 1)])
+
+
+def _passing(branches: tuple[int, ...]) -> np.ndarray:
+    """Chance that a shared token keeps two sets together through all levels, by equal positions of their sketches."""
+    equal, out = np.arange(SKETCH + 1) / SKETCH, np.ones(SKETCH + 1)
+    for n in reversed(branches):
+        out = 1 - (1 - equal * out) ** n
+    return out
+
+
+def loss(threshold: float, size: int, least: int, repetitions: int, branches: tuple[int, ...], shared: float | None = None) -> float:
+    """Chance that two sets at the threshold, ``size`` tokens the larger one, are no candidates in crowded buckets.
+
+    Of their shared tokens each is chosen in any repetition or in none, and is one path however often chosen.
+    Sketches are the same on all paths.
+    """
+    shared = math.ceil(threshold * size - 1e-9) if shared is None else shared
+    chosen = 1 - (1 - min(1.0, 1 / (LAM * size))) ** repetitions
+    chance = _agreeing(threshold)
+    return float(chance[:least].sum() + (chance[least:] * (1 - chosen * _passing(branches)[least:]) ** shared).sum())
+
+
+def planned(threshold: float, miss: float) -> Plan:
+    """The fewest repetitions for all but small sets, and the positions that those need."""
+    least = int(np.searchsorted(np.cumsum(_agreeing(threshold)), miss / 2, side="right"))
+
+    def enough(few: int, repetitions: int) -> bool:  # the chance falls with the size, but for rounding up shared tokens
+        return all(loss(threshold, few << k, least, repetitions, BRANCHES, threshold * (few << k)) <= miss for k in range(0, 24, 4))
+
+    few, high = 64, 1
+    while not enough(few, high):
+        high *= 2
+        if high > 1 << 12:  # with few tokens all are chosen soon
+            few, high = few * 4, 1
+        if few > 1 << 14:
+            raise ValueError(f"a miss of {miss:g} at a threshold of {threshold:g} can't be reached")
+    low = high // 2
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if enough(few, middle) else (middle, high)
+    now, found = BRANCHES, []
+    for size in range(few - 1, 1, -1):
+        if math.ceil(threshold * size - 1e-9) >= size:
+            break  # no other set can reach the threshold
+        while loss(threshold, size, least, high, now) > miss:
+            more = [tuple(n + (k == level) for k, n in enumerate(now)) for level in range(len(now))]
+            now = min(more, key=lambda b: loss(threshold, size, least, high, b))
+            if math.prod(now) > 1 << 15:
+                raise ValueError(f"a miss of {miss:g} at a threshold of {threshold:g} can't be reached for sets of {size}")
+        if now != BRANCHES and (not found or found[-1][1] != now):
+            found.append((size, now))
+    return Plan(least, high, tuple(reversed(found)))
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """Sorted different shingle hashes of each row."""
     hashes, firsts, _ = common.words(data, bounds)
@@ -178,12 +243,12 @@ def _alike(least: int) -> Callable:
     return run
 
 
-def candidate_edges(sets: DataFrame, threshold: float) -> DataFrame:
+def candidate_edges(sets: DataFrame, plan: Plan) -> DataFrame:
     """Edges ``a, b`` that connect all candidates; as many as bucket members at most."""
-    least = max(1, math.floor(SKETCH * threshold - SLACK * math.sqrt(SKETCH * threshold * (1 - threshold))))
     edge = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
     sketches = sets.select("sid", "sketch")
-    members = sets.select("sid", F.explode("nodes").alias("node"))
+    # two sets share the positions of the larger one: smaller sets have as many or more
+    members = sets.select("sid", "size", F.explode("nodes").alias("node"))
     found = []
     for level in range(len(BRANCHES) + 1):
         # stored, so that Spark can split the share of a hot bucket in the joins
@@ -195,13 +260,16 @@ def candidate_edges(sets: DataFrame, threshold: float) -> DataFrame:
         large = members.join(crowded.select("node"), "node", "left_semi")
         if level == 0:
             small, large = (x.join(sketches, "sid") for x in (small, large))
-        found.append(small.select("node", "sid", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(_alike(least), edge))
+        found.append(small.select("node", "sid", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(_alike(plan.least), edge))
         if level == len(BRANCHES):
             break
-        parts = large.select("sid", "sketch", "node", F.explode(F.array(*map(F.lit, range(BRANCHES[level])))).alias("j"))
+        positions = F.lit(BRANCHES[level])
+        for most, branches in reversed(plan.branches):
+            positions = F.when(F.col("size") <= most, branches[level]).otherwise(positions)
+        parts = large.select("sid", "size", "sketch", "node", F.explode(F.sequence(F.lit(0), positions - 1)).alias("j"))
         position = f"2 * pmod(xxhash64(node, j), {SKETCH}) + 1"
         child = F.expr(f"xxhash64(node, j, substring(sketch, cast({position} as int), 2))").alias("node")
-        members = stored(parts.select("sid", "sketch", child).distinct(), f"paths-{level}")
+        members = stored(parts.select("sid", "size", "sketch", child).distinct(), f"paths-{level}")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -284,8 +352,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     source = common.keyed(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType
-    passes = math.prod(1 - (1 - threshold) ** b for b in BRANCHES)  # of two sets at the threshold, through all levels
-    repetitions = max(1, math.ceil(math.log(1 / miss) * LAM / (threshold * passes)))
+    plan = planned(threshold, miss)
     schema = T.StructType(
         [
             T.StructField("doc_id", id_type),
@@ -296,15 +363,19 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             T.StructField("nodes", T.ArrayType(T.LongType())),
         ]
     )
-    rows = stored(source.mapInArrow(_sets(repetitions), schema), "shingle-sets")
+    rows = stored(source.mapInArrow(_sets(plan.repetitions), schema), "shingle-sets")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     sets = stored(
         rows.groupBy("sid").agg(
-            F.min(order).alias("least"), F.count("*").alias("n_copies"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes")
+            F.min(order).alias("least"),
+            F.count("*").alias("n_copies"),
+            F.first("size").alias("size"),
+            F.first("sketch").alias("sketch"),
+            F.first("nodes").alias("nodes"),
         ),
         "classes",
     )
-    groups = components(candidate_edges(sets, threshold)).select(F.col("node").alias("sid"), F.col("root").alias("cid"))
+    groups = components(candidate_edges(sets, plan)).select(F.col("node").alias("sid"), F.col("root").alias("cid"))
     sizes = groups.groupBy("cid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     asked = (
         groups.join(sizes, "cid")

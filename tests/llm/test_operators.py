@@ -248,6 +248,25 @@ def test_jaccard_classes_equal_brute_force(docs, nothing, texts, monkeypatch):
     assert jaccard_join.similarity_classes(nothing).count() == 0
 
 
+def test_small_sets_keep_the_recall_in_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 1)  # every bucket is split
+    words = F.concat_ws(" ", *(F.concat(F.lit(c), F.col("id").cast("string")) for c in "abcdefgh"))  # 4 shingles of 5 words
+    pairs = spark.range(20000).select("id", words.alias("text"))
+    longer = pairs.select((F.col("id") + 100000).alias("id"), F.concat("text", F.lit(" i"), "id").alias("text"))  # 5, of which 4 are shared
+    rows = jaccard_join.similarity_classes(pairs.unionByName(longer), "id")
+    assert rows.where("n_links <> 1 OR class_id <> doc_id % 100000").isEmpty()
+
+
+def test_planned_loss_holds_for_every_size():
+    plan = jaccard_join.planned(jaccard_join.THRESHOLD, jaccard_join.MISS)
+    assert jaccard_join.MISS <= 1e-6
+    for size in [*range(5, 2000), 10**4, 10**5, 10**6]:
+        branches = next((b for most, b in plan.branches if size <= most), jaccard_join.BRANCHES)
+        assert jaccard_join.loss(jaccard_join.THRESHOLD, size, plan.least, plan.repetitions, branches) <= jaccard_join.MISS
+    with pytest.raises(ValueError):
+        jaccard_join.planned(0.05, 1e-6)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (3, 1), (7, 7), (20, 21), (21, 22), (22, 23), (23, 24)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
