@@ -189,7 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id"))
     chosen = usable.agg((F.avg(label_col) >= 0.5).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     source = common.keyed(docs, id_col, text_col)
-    first = source.join(F.broadcast(chosen), "doc_id").select("text", "label")  # ``sample`` rows at most
+    # of repeated ids the text with the smallest hash, found on narrow rows: ``sample`` texts at most
+    one = source.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("th").alias("th"))
+    picked = source.join(F.broadcast(one), ["doc_id", "th"]).select("doc_id", "text", "label")
+    first = picked.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
     schema = "bucket array<int>, weight array<float>, stats array<double>, label int"
     got = first.mapInArrow(_vectors, schema).toArrow().combine_chunks()
     if not got.num_rows:

@@ -293,6 +293,15 @@ def test_quality_holds_out_of_sample(spark, docs, nothing):
     assert {r["score"] for r in quality.scored(docs, blank).collect()} == {0.5}
 
 
+def test_quality_takes_one_text_of_a_repeated_id(spark, monkeypatch):
+    rows = [(k % 4 if k < 40 else 0, f"text number {k}") for k in range(400)] + [(0, "text number 0")] * 50
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda *a: seen.append(a[-1]))
+    quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels)
+    assert sorted(seen[0]) == [0, 0, 1, 1]
+
+
 def test_factor_sum_is_the_sum_over_pairs():
     rng = np.random.default_rng(0)
     linear, factors = rng.normal(size=6), rng.normal(size=(6, 3))
