@@ -217,7 +217,7 @@ def span_model(table: list[tuple[int, int, int, int]]) -> dict[tuple[int, int, i
         target = agreement(codes, counts.astype(float))
         said = [(codes // 3 ** (LABELERS - 1 - k)) % 3 for k in range(LABELERS)]
         x = np.stack([np.ones(len(rows)), *((s == v).astype(float) for s in said for v in (_YES, _NO)), *(((shapes >> b) & 1).astype(float) for b in range(SHAPES))], axis=1)
-        weight, w = np.minimum(counts, 1e6) / counts.sum(), np.zeros(x.shape[1])
+        weight, w = counts / counts.sum(), np.zeros(x.shape[1])
         for _ in range(300):  # Newton steps with a small ridge
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             step = x.T @ (weight * (p - target)) + 1e-4 * w

@@ -433,6 +433,14 @@ def test_agreement_finds_the_reliable_labelers():
     assert (guess == real).mean() > 0.93
 
 
+def test_span_model_does_not_depend_on_the_size(monkeypatch):
+    rng = random.Random(3)
+    monkeypatch.setattr(personal, "agreement", lambda codes, counts: codes % 7 / 6.0)
+    table = [(k, v, s, rng.choice([1, 3, 40, 900])) for k in range(4) for v in rng.sample(range(243), 20) for s in (0, 5)]
+    small, large = personal.span_model(table), personal.span_model([(*r[:3], r[3] * 10**6) for r in table])
+    assert max(abs(small[k] - large[k]) for k in small) < 1e-6
+
+
 def test_pipeline_equals_its_stages(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     sf_dir = "/root/testdata/sf0.001"
