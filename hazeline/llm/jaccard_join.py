@@ -20,6 +20,7 @@ an empty result. A text of any size is used whole.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Callable, Iterator
@@ -140,13 +141,22 @@ def _least(tokens: np.ndarray) -> np.ndarray:
     return (common.mixed(best) >> U64(48)).astype("<u2")
 
 
+@functools.cache
+def _path_functions(repetitions: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of the hash functions, one of each for every repetition."""
+    more = np.random.default_rng(613).integers(1, 1 << 63, (max(0, repetitions - len(_PATH_XOR)), 2), dtype=np.uint64) | U64(1)
+    return tuple(np.concatenate([known, more[:, k : k + 1]])[:repetitions] for k, known in enumerate((_PATH_XOR, _PATH_MUL)))
+
+
 def _chosen(tokens: np.ndarray, repetitions: int) -> np.ndarray:
     """Tokens chosen in any of the repetitions."""
+    xor, mul = _path_functions(repetitions)
+    width = max(1, min(4096, (1 << 20) // repetitions))
     limit = U64(min((1 << 64) - 1, int((1 << 64) / (LAM * len(tokens)))))
     out = []
-    for part in range(0, len(tokens), 4096):
-        some = tokens[part : part + 4096]
-        out.append(some[(((some ^ _PATH_XOR[:repetitions]) * _PATH_MUL[:repetitions]) <= limit).any(axis=0)])
+    for part in range(0, len(tokens), width):
+        some = tokens[part : part + width]
+        out.append(some[(((some ^ xor) * mul) <= limit).any(axis=0)])
     return np.concatenate(out)
 
 

@@ -267,6 +267,13 @@ def test_planned_loss_holds_for_every_size():
         jaccard_join.planned(0.05, 1e-6)
 
 
+def test_more_than_256_repetitions():
+    tokens = np.random.default_rng(8).integers(1, 1 << 63, 4000, dtype=np.uint64)
+    chosen = [set(jaccard_join._chosen(tokens, n).tolist()) for n in (11, 256, 1024)]
+    assert chosen[0] < chosen[1] < chosen[2]
+    assert abs(len(chosen[2]) / 4000 - (1 - (1 - 2 / 4000) ** 1024)) < 0.03
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (3, 1), (7, 7), (20, 21), (21, 22), (22, 23), (23, 24)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
