@@ -33,6 +33,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
+#: Bytes of words that only space, tab and line ends part.
+SPACED = np.ones(256, dtype=bool)
+SPACED[32] = SPACED[9:14] = False
 
 
 def ship(spark: SparkSession) -> None:
@@ -102,13 +105,14 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, member: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every word, number of the first word of each row (and the end), and word byte lengths.
 
-    Words are runs of digits, letters a-z (A-Z are lowered) and characters beyond ASCII; none spans rows.
+    Words are runs of digits, letters a-z (A-Z are lowered) and characters beyond ASCII, or of the bytes that are
+    a ``member``; none spans rows.
     """
     low = _LOWER[data]
-    inside = _WORD[low]
+    inside = member[low]
     if not inside.any():
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), np.zeros(0, np.int64)
     before = np.empty_like(inside)

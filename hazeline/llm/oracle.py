@@ -48,7 +48,6 @@ _ESCAPED = (
     "replace(replace(replace(replace(replace({}, '%', '%25'), '<s>', '%3Cs>'), '</s>', '%3C/s>'),"
     " '[INST]', '%5BINST]'), '[/INST]', '%5B/INST]')"
 )
-_ROLES = "array_to_string(list(coalesce(role, '') ORDER BY turn), ',')"
 
 CHAT_TURNS = f"""
 WITH c AS (
@@ -69,8 +68,72 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(told) AS turns_sha256, length
 FROM a
 """
 
+_SPACED = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+
+SKETCHED_COPIES = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_SPACED.format(_LOWER)} AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - least(3, len(w)) + 2),
+         lambda k: array_to_string(w[k : k + least(3, len(w)) - 1], ' '))) AS g
+  FROM d WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+), c AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+# CRC-32 of the decimal id, bit by bit (fixed values: the polynomial 0xEDB88320, start and end 0xFFFFFFFF)
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+       lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))"""
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+  SELECT conv_id, count(*) AS n, {_CRC} % 4 AS h FROM t GROUP BY conv_id
+), c AS (
+  SELECT n.conv_id, n.conv_id - n.conv_id % 20 AS base, n.h, least(n.h, coalesce(b.n, 0)) AS taken
+  FROM n LEFT JOIN n b ON b.conv_id = n.conv_id - n.conv_id % 20
+), r AS (
+  SELECT conv_id, i - h + taken AS d, role, text FROM t JOIN c USING (conv_id) WHERE i > h
+  UNION ALL SELECT c.conv_id, i, role, text FROM c JOIN t ON t.conv_id = c.base WHERE i <= taken
+), p AS (
+  SELECT conv_id, 0 AS d, '' AS path, 0 AS w FROM c
+  UNION ALL SELECT conv_id, d, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d), len({_SPACED.format("text")}) FROM r
+), last AS (
+  SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(p.d) AS d, min(p.conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(w) AS saved,
+         coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE p.d = last.d), '') AS ends
+  FROM p JOIN last USING (conv_id) GROUP BY path
+), kids AS (
+  SELECT left(path, 64 * (d - 1)::INT) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), up AS (
+  SELECT left(path, 64 * unnest(range(0, d + 1))::INT) AS path, saved, path IN (SELECT path FROM kids) AS inner_node FROM nodes
+), sums AS (
+  SELECT path, sum(saved) AS saved, count(*) FILTER (WHERE NOT inner_node) AS leaves FROM up GROUP BY path
+)
+SELECT a.conv_id, a.d::BIGINT AS depth, u.conv_id AS parent_conv_id, a.n::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM nodes a JOIN sums s USING (path) LEFT JOIN kids k USING (path) LEFT JOIN nodes u ON a.d > 0 AND u.path = left(a.path, 64 * (a.d - 1)::INT)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_copies": EXACT_COPIES,
     "op4_benchmark_overlap": BENCHMARK_OVERLAP,
     "op9_chat_turns": CHAT_TURNS,
+    "op11_sketched_copies": SKETCHED_COPIES,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

@@ -6,10 +6,10 @@ two periods or more, that no neighbouring word extends. On the diagonal of lag q
 
 Seeds are pairs of equal grams of one text whose distance lies in a class of lags. For lags below ``2 * k`` every gram of
 k words is a seed; for lags from Q to 2Q - 1 the stretch has Q places or more, so grams of Q/2 words at every
-(Q/2 + 1)-th word are enough. That gives at most 2n pairs a class whatever the text, n log n in all, even where
-one word fills it. Grams twice as long are named by pairs of names: equality is exact. A table of the furthest
-place covered per lag joins seeds of one stretch, and only its two ends are extended, by less than a step of the seeds.
-Of stretches with one extent the smallest lag is the period.
+Q/2-th word are enough, and the seeds of one stretch touch. That gives at most 2n pairs a class whatever the text,
+n log n in all, even where one word fills it. Grams twice as long are named by pairs of names: equality is exact. A table
+of the furthest place covered per lag joins seeds of one stretch, and only its two ends are extended, by less than a step
+of the seeds, with one comparison for each shorter gram. Of stretches with one extent the smallest lag is the period.
 
 Words are runs of characters other than space, tab and line ends. A null or empty text has no words and no runs; rows
 alike in id and text give as many result rows; an empty table gives an empty result. Columns besides id and text are not
@@ -44,18 +44,21 @@ def numbered(words: list[bytes]) -> np.ndarray:
     return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
 
 
-def _agreeing(ids: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """How many words agree from places i and j on, ``most`` at most."""
-    out = np.zeros(len(i), np.int64)
-    step, last = np.arange(32), len(ids) - 1
-    for part in range(0, len(i), 1 << 14):
-        live = np.arange(part, min(len(i), part + (1 << 14)))
-        while len(live):
-            at = out[live, None] + step
-            same = (at < most[live, None]) & (ids[np.minimum(i[live, None] + at, last)] == ids[np.minimum(j[live, None] + at, last)])
-            more = np.where(same.all(axis=1), len(step), np.argmin(same, axis=1))
-            out[live] += more
-            live = live[more == len(step)]
+def _agreeing(ids: np.ndarray, known: list[tuple[int, np.ndarray]], few: int, i: np.ndarray, j: np.ndarray, room: np.ndarray, ahead: bool) -> np.ndarray:
+    """How many words agree from places i and j on (or before them), ``room`` at most.
+
+    They are fewer than twice the longest known gram, or than ``few`` if none is known. Names of grams are compared from the
+    longest to the shortest, each once, and then words.
+    """
+    out, live = np.zeros(len(i), np.int64), np.ones(len(i), bool)
+    for g, names in [*reversed(known), *[(1, ids)] * (known[0][0] if known else few)]:
+        a, b = (i + out, j + out) if ahead else (i - out - g, j - out - g)
+        fits = live & (out + g <= room)
+        a, b = names[np.where(fits, a, 0)], names[np.where(fits, b, 0)]
+        same = fits & (a >= 0) & (a == b)
+        out += g * same
+        if g == 1:
+            live = same
     return out
 
 
@@ -65,8 +68,11 @@ def _named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names, times[names] > 1
 
 
-def _stretches(names: np.ndarray, g: int, low: int, high: int, step: int, ids: np.ndarray, first: np.ndarray, end: np.ndarray):
-    """Start, end and lag of all equal stretches on diagonals of lags ``low`` to ``high - 1`` that hold a seed."""
+def _stretches(names: np.ndarray, g: int, low: int, high: int, step: int, ids: np.ndarray, shorter: list, first: np.ndarray, end: np.ndarray):
+    """Start, end and lag of all equal stretches on diagonals of lags ``low`` to ``high - 1`` that hold a seed.
+
+    ``shorter``: names of all grams shorter than g, for the ends.
+    """
     n = len(ids)
     known = np.flatnonzero(names >= 0)
     index = np.sort(names[known] * n + known)
@@ -85,8 +91,8 @@ def _stretches(names: np.ndarray, g: int, low: int, high: int, step: int, ids: n
     new = np.append(True, (lag[1:] != lag[:-1]) | (first[at[1:]] != first[at[:-1]]) | (at[1:] > at[:-1] + g))
     start, covered, lag = at[new], at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] + g, lag[new]
     begin, stop = first[start], end[start]
-    ahead = _agreeing(ids, covered, covered + lag, stop - covered - lag)
-    back = _agreeing(ids[::-1], n - start, n - start - lag, start - begin)
+    ahead = _agreeing(ids, shorter, g, covered, covered + lag, stop - covered - lag, True)
+    back = _agreeing(ids, shorter, g, start, start + lag, start - begin, False)
     return start - back, covered + ahead, lag
 
 
@@ -118,10 +124,11 @@ def find(rows: list[np.ndarray], least_words: int = LEAST_WORDS) -> list[list[tu
         fresh, again = _named(names[keep] * n + ids[keep + more])
         names = np.full(n, -1)
         names[keep[again]] = fresh[again]
-    found = [_stretches(names, k, 1, 2 * k, 1, ids, first, end)]
-    g = k
+    found = [_stretches(names, k, 1, 2 * k, 1, ids, [], first, end)]
+    g, known = k, []
     while 4 * g <= sizes.max() and (names >= 0).any():  # lags from 2g on, 2g words or more on the diagonal
-        found.append(_stretches(names, g, 2 * g, 4 * g, g + 1, ids, first, end))
+        found.append(_stretches(names, g, 2 * g, 4 * g, g, ids, known, first, end))
+        known.append((g, names.astype(np.int32)))
         keep = np.flatnonzero(names[: n - g] >= 0)
         keep = keep[(keep + 2 * g <= end[keep]) & (names[keep + g] >= 0)]
         fresh, again = _named(names[keep] * n + names[keep + g])

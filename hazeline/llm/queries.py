@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm.common import ship
-from hazeline.llm import chat, decontamination, exact_dedup, jaccard_join, packing, personal, quality, repeats, secrets, sharding
+from hazeline.llm import chat, decontamination, exact_dedup, jaccard_join, packing, periodic, personal, quality, repeats, secrets, setsketch, sharding, trie
 
 SHARDS = 40
 
@@ -97,6 +97,33 @@ def personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.find_personal(_table(spark, sf_dir, "documents"))
 
 
+def sketched_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = setsketch.near_copies(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("set_size").alias("n_shingles"), "component_id", "kept")
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs, turns = trie.rebuilt(trie.placed(_table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(convs, turns)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; where h = crc32(doc_id) is a multiple of 10, a part of the words repeats up to the end."""
+    space = r"[\x20\x09-\x0D]+"
+    hashed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), hashed.alias("h"), F.expr("crc32(encode(cast(doc_id AS string), 'UTF-8')) div 10").alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.filter(F.split("text", space), lambda w: w != ""))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.expr("if(n > 0, cast(g % n AS int), null)"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) AS int)"))
+    told = "slice(concat(slice(words, 1, a), flatten(array_repeat(slice(words, a + 1, p), cast(1 + (n - a) div p AS int)))), 1, n)"
+    return rows.select("doc_id", F.expr(f"if(n > 0 AND p IS NOT NULL, array_join({told}, ' '), text)").alias("text"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(periodic.find_runs(with_planted_runs(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_strings": repeated_strings,
     "op2_virtual_slots": virtual_slots,
@@ -108,4 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_sequences": packed_sequences,
     "op9_chat_turns": chat_turns,
     "op10_personal_spans": personal_spans,
+    "op11_sketched_copies": sketched_copies,
+    "op12_prefix_trie": prefix_trie,
+    "op13_periodic_runs": periodic_runs,
 }
