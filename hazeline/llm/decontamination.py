@@ -2,13 +2,12 @@
 
 Of every window of six consecutive 5-word hashes the smallest is a fingerprint (of equals the rightmost), so
 every span of ten words that a document shares with an item holds a fingerprint both have chosen. Documents'
-fingerprints are joined with those of the items; each hit is extended word by word in both directions, and
-an extension of ten words or more marks the words it covers. An item of fewer than ten words is one window,
-looked up whole.
+fingerprints are joined with those of the items; each place that is hit is extended to the windows of ten words around it, and
+a window that an item has too marks its words. A place is extended once, however often the items hold its fingerprint. An
+item of fewer than ten words is one window, looked up whole.
 
 The items' fingerprints travel to the documents in blocks of at most ``block_words`` words, so what a task
-holds is bounded whatever the benchmark's size; documents are never shuffled. Words of one row are compared
-by 64-bit hashes.
+holds is bounded whatever the benchmark's size; documents are never shuffled. Windows are compared by 64-bit hashes.
 
 A null or empty text has no words; an item without words occurs nowhere; rows alike in id and text give as
 many result rows. Null item ids are left out of the list of items (their words still count). Items that
@@ -32,19 +31,16 @@ from hazeline.llm import common
 
 WINDOW_WORDS = 10
 GRAM_WORDS = 5
-#: Words of benchmark items sent to the tasks at once; 8 bytes each, and as much again for fingerprints.
+#: Words of benchmark items sent to the tasks at once; 16 bytes each for windows, and a few more for fingerprints.
 BLOCK_WORDS = 1 << 20
 
 
 @dataclass
 class Block:
-    """Some items: their words one after the other, and where their fingerprints stand."""
+    """Some items: their fingerprints, and by words in a window the windows and who has them."""
 
-    hashes: np.ndarray  # words of all items
-    starts: np.ndarray  # of each item in ``hashes``, and the end
-    prints: np.ndarray  # fingerprints, sorted
-    places: np.ndarray  # place in ``hashes`` of each fingerprint
-    whole: dict[int, tuple[np.ndarray, np.ndarray]]  # words of a short item -> sorted hashes, item numbers
+    prints: np.ndarray  # different fingerprints, sorted
+    windows: dict[int, tuple[np.ndarray, np.ndarray]]  # words -> sorted hashes, item numbers; each pair once
 
 
 def winnowed(values: np.ndarray, width: int) -> np.ndarray:
@@ -60,25 +56,21 @@ def winnowed(values: np.ndarray, width: int) -> np.ndarray:
 def block_of(texts: list[str]) -> Block:
     data, bounds = common.text_bytes(pa.array(texts, pa.string()))
     hashes, starts, _ = common.words(data, bounds)
-    prints, places, whole = [], [], {}
+    prints, found = [np.zeros(0, np.uint64)], {}
     for k, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
-        n = int(b - a)
-        if n >= WINDOW_WORDS:
+        n = min(int(b - a), WINDOW_WORDS)
+        if n == WINDOW_WORDS:
             values = common.grams(hashes[a:b], GRAM_WORDS)
-            at = winnowed(values, WINDOW_WORDS - GRAM_WORDS + 1)
-            prints.append(values[at])
-            places.append(at + a)
-        elif n:
-            whole.setdefault(n, []).append((common.grams(hashes[a:b], n)[0], k))
-    prints = np.concatenate([*prints, np.zeros(0, np.uint64)])
-    places = np.concatenate([*places, np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.argsort(prints, kind="stable")
-    short = {}
-    for n, pairs in whole.items():
-        values, items = np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)
+            prints.append(values[winnowed(values, WINDOW_WORDS - GRAM_WORDS + 1)])
+        if n:
+            values = np.unique(common.grams(hashes[a:b], n))
+            found.setdefault(n, []).append((values, np.full(len(values), k)))
+    windows = {}
+    for n, parts in found.items():
+        values, items = (np.concatenate(x) for x in zip(*parts, strict=True))
         by = np.argsort(values, kind="stable")
-        short[n] = (values[by], items[by])
-    return Block(hashes, starts, prints[order], places[order], short)
+        windows[n] = (values[by], items[by])
+    return Block(np.unique(np.concatenate(prints)), windows)
 
 
 def _pairs(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,57 +81,50 @@ def _pairs(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(found, counts), common.spread(first[found], counts)
 
 
-def _extended(a: np.ndarray, i: np.ndarray, low_i: np.ndarray, high_i: np.ndarray, b: np.ndarray, j: np.ndarray, low_j: np.ndarray, high_j: np.ndarray):
-    """How many words agree before places i, j and from them on, within the rows' bounds."""
-    before, after = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
-    live = np.arange(len(i))
-    while len(live):
-        x, y = i[live] - before[live] - 1, j[live] - before[live] - 1
-        live, x, y = (v[(x >= low_i[live]) & (y >= low_j[live])] for v in (live, x, y))
-        live = live[a[x] == b[y]]
-        before[live] += 1
-    live = np.arange(len(i))
-    while len(live):
-        x, y = i[live] + after[live], j[live] + after[live]
-        live, x, y = (v[(x < high_i[live]) & (y < high_j[live])] for v in (live, x, y))
-        live = live[a[x] == b[y]]
-        after[live] += 1
-    return before, after
-
-
-def hits(hashes: np.ndarray, firsts: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word after the last, item) of every occurrence of windows of the block in the rows."""
+def _holds(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the sorted table has each value."""
+    at = np.searchsorted(table, values)
+    return (at < len(table)) & (table[np.minimum(at, len(table) - 1)] == values) if len(table) else np.zeros(len(values), bool)
+
+
+def _suspects(hashes: np.ndarray, firsts: np.ndarray, row_of: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """First words of all windows around fingerprints that rows and items share."""
+    values, width = common.grams(hashes, GRAM_WORDS), WINDOW_WORDS - GRAM_WORDS + 1
+    # the items' fingerprints are looked up first; only rows that contain some need the window rule
+    at = np.flatnonzero(_holds(prints, values))
+    own = [np.zeros(0, np.int64)]
+    for row in np.unique(row_of[at]):
+        a, b = firsts[row], firsts[row + 1]
+        if b - a >= WINDOW_WORDS:
+            mine = at[np.searchsorted(at, a) : np.searchsorted(at, b)]
+            mine = mine[np.isin(mine, winnowed(values[a : b - GRAM_WORDS + 1], width) + a)]
+            starts = np.unique(mine[:, None] - np.arange(width))
+            own.append(starts[(starts >= a) & (starts + WINDOW_WORDS <= b)])
+    return np.concatenate(own)
+
+
+def hits(hashes: np.ndarray, firsts: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the rows' words that are windows of the block, and different (row, item) of them."""
     row_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    out = []
-    if len(block.prints) and len(hashes) >= GRAM_WORDS:
-        values = common.grams(hashes, GRAM_WORDS)
-        # the items' fingerprints are looked up first; only what they contain needs the window rule
-        at, entry = _pairs(values, block.prints)
-        if len(at):
-            width = WINDOW_WORDS - GRAM_WORDS + 1
-            own = np.zeros(len(at), bool)
-            for row in np.unique(row_of[at]):
-                a, b = firsts[row], firsts[row + 1]
-                if b - a >= WINDOW_WORDS:
-                    chosen = winnowed(values[a : b - GRAM_WORDS + 1], width) + a
-                    mine = (at >= a) & (at < b)
-                    own[mine] = np.isin(at[mine], chosen)
-            at, place = at[own], block.places[entry[own]]
-            item = np.searchsorted(block.starts, place, "right") - 1
-            row = row_of[at]
-            before, after = _extended(
-                hashes, at, firsts[row], firsts[row + 1], block.hashes, place, block.starts[item], block.starts[item + 1]
-            )
-            long = before + after >= WINDOW_WORDS
-            out.append((at[long] - before[long], at[long] + after[long], item[long]))
-    for n, (table, items) in block.whole.items():
+    spans, told = [np.zeros((2, 0), np.int64)], [np.zeros((2, 0), np.int64)]
+    for n, (table, items) in block.windows.items():
+        if len(hashes) < n:
+            continue
         values = common.grams(hashes, n)
-        at, entry = _pairs(values, table)
-        inside = row_of[at] == row_of[at + n - 1] if len(at) else np.zeros(0, bool)
-        out.append((at[inside], at[inside] + n, items[entry[inside]]))
-    if not out:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        if n == WINDOW_WORDS:
+            at = _suspects(hashes, firsts, row_of, block.prints)
+        else:
+            at = np.arange(len(values))
+            at = at[row_of[at] == row_of[at + n - 1]]
+        at = at[_holds(table, values[at])]
+        spans.append(np.stack([at, at + n]))
+        # a window that comes again in a row names the same items
+        order = np.lexsort((values[at], row_of[at]))
+        row, value = row_of[at][order], values[at][order]
+        new = np.append(True, (row[1:] != row[:-1]) | (value[1:] != value[:-1]))[: len(row)]
+        place, entry = _pairs(value[new], table)
+        told.append(np.unique(np.stack([row[new][place], items[entry]]), axis=1))
+    return *np.concatenate(spans, axis=1), *np.unique(np.concatenate(told, axis=1), axis=1)
 
 
 def _scan(block: Block, items: list) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -148,17 +133,18 @@ def _scan(block: Block, items: list) -> Callable[[Iterator[pa.RecordBatch]], Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             hashes, firsts, _ = common.words(*common.text_bytes(batch.column("text")))
-            start, end, item = hits(hashes, firsts, block)
+            start, end, holder, item = hits(hashes, firsts, block)
             rows = np.searchsorted(firsts, start, "right") - 1
             order = np.argsort(rows, kind="stable")
             cuts = np.searchsorted(rows[order], np.arange(batch.num_rows + 1))
+            named = np.searchsorted(holder, np.arange(batch.num_rows + 1))
             starts, ends, found = [], [], []
             for row in range(batch.num_rows):
                 mine = order[cuts[row] : cuts[row + 1]]
                 s, e = common.merged(start[mine], end[mine]) if len(mine) else (mine, mine)
                 starts.append((s - firsts[row]).tolist())
                 ends.append((e - firsts[row]).tolist())
-                found.append([items[k] for k in np.unique(item[mine])])
+                found.append([items[k] for k in item[named[row] : named[row + 1]]])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -216,10 +202,12 @@ def contaminated_words(
     parts = [source.mapInArrow(_scan(block, names), schema) for block, names in _blocks(benchmark, item_col, item_text_col, block_words)]
     found = parts[0]
     if len(parts) > 1:
-        rest = [p.where("size(starts) > 0") for p in parts[1:]]
+        # rows alike in id and text have equal hits in a block; one of them is enough
+        rest = [p.where("size(starts) > 0").withColumn("block", F.lit(k)) for k, p in enumerate(parts[1:])]
         more = rest[0]
         for p in rest[1:]:
             more = more.unionByName(p)
+        more = more.groupBy("doc_id", "th", "block").agg(*(F.first(c).alias(c) for c in ("starts", "ends", "items")))
         more = more.groupBy("doc_id", "th").agg(F.collect_list(F.struct("starts", "ends", "items")).alias("all"))
         more = more.select("doc_id", "th", *(F.flatten(F.col("all")[x]).alias(x[0]) for x in ("starts", "ends", "items")))
         found = (
