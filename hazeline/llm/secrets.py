@@ -3,7 +3,7 @@
 Two first-order character models, one of random strings and one of ordinary identifiers, are trained from
 samples that the patterns label. A candidate (a long run of identifier characters with a digit and a letter, or mixed case)
 is a secret when the log-likelihood ratio per character of the two models is above a threshold. Patterns with
-fixed forms are found besides and always stay.
+fixed forms are found besides and always stay. The models only add: a candidate that overlaps a match of a pattern is none.
 
 Places are code points, the end is exclusive. A null or empty text has no spans. Rows alike in id and text get
 equal rows. The samples are the pattern matches and the ordinary words of all documents; without samples of a
@@ -26,7 +26,13 @@ ACCESS_CHARS = 18
 HEX = r"[0-9a-f]+"
 HEX_CHARS = 16
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+_LONG_ACCESS, _LONG_HEX = ACCESS.replace("+", f"{{{ACCESS_CHARS - 4},}}"), HEX.replace("+", f"{{{HEX_CHARS},}}")
+#: What candidates are searched with: base matches, with the identifier that leads up to a keyword, are passed over.
+_SEARCH = "|".join([CANDIDATE.replace("{16,}", "*?") + ASSIGN, _LONG_ACCESS, _LONG_HEX, CANDIDATE])
+_BASE = "|".join([ASSIGN, _LONG_ACCESS, _LONG_HEX])
+#: Characters of a candidate that are taken out of it at once.
+_PART = 256
 #: Fewest nats per character by which a candidate must look more random than ordinary.
 LEAST_RATIO = 0.5
 _ASCII = 128
@@ -70,8 +76,8 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kinds = {
         "assign": (ASSIGN, 1, ASSIGN_CHARS),
         "access": (ACCESS, 0, ACCESS_CHARS),
-        "hex": (HEX.replace("+", f"{{{HEX_CHARS},}}"), 0, HEX_CHARS),  # runs are maximal: the same matches
-        "candidates": (CANDIDATE, 0, 1),
+        "hex": (_LONG_HEX, 0, HEX_CHARS),  # runs are maximal: the same matches
+        "candidates": (_SEARCH, 0, 1),
     }
     matched = docs.select(docs[id_col].alias("doc_id"), text.alias("text")).select(
         "doc_id", "text", *(F.expr(f"regexp_extract_all(text, '{_quoted(p)}', 0)").alias(f"_{k}") for k, (p, _, _) in kinds.items())
@@ -87,15 +93,13 @@ def _mixed(value: Column) -> Column:
 def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``value, random`` of all documents in one pass: values of the patterns, and ordinary long words."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    hexes = HEX.replace("+", f"{{{HEX_CHARS},}}")
-
     def all_of(pattern: str, group: int) -> Column:
         return F.expr(f"regexp_extract_all(text, '{_quoted(pattern)}', {group})")
 
     secret = F.concat(
         F.filter(all_of(ASSIGN, 1), lambda m: F.length(m) >= ASSIGN_CHARS),
         F.filter(all_of(ACCESS, 0), lambda m: F.length(m) >= ACCESS_CHARS),
-        F.filter(all_of(hexes, 0), lambda m: m.rlike("[a-f]")),
+        F.filter(all_of(_LONG_HEX, 0), lambda m: m.rlike("[a-f]")),
     )
 
     def kind(values: Column, random: bool) -> Column:
@@ -144,10 +148,13 @@ def scan(
     joined = ",".join(f"{x:.5f}" for x in ratios)
     found = _found(docs, id_col, text_col)
     table = f"cast(split('{joined}', ',') AS array<double>)"  # folded to a literal once
-    total = f"""aggregate(sequence(1, length(x.m) - 1), 0D, (t, i) -> t + element_at({table},
-        ascii(substring(x.m, i, 1)) * {_ASCII} + ascii(substring(x.m, i + 1, 1)) + 1))"""
+    # a character's place is looked up in a short part only, so a run costs its length
+    total = f"""aggregate(regexp_extract_all(x.m, '.{{1,{_PART}}}', 0), named_struct('last', -1, 'sum', 0D), (t, part) -> aggregate(
+        sequence(1, length(part)), t, (u, i) -> named_struct(
+          'last', ascii(substring(part, i, 1)),
+          'sum', u.sum + if(u.last < 0, 0D, element_at({table}, u.last * {_ASCII} + ascii(substring(part, i, 1)) + 1)))), t -> t.sum)"""
     likely = F.expr(f"filter(candidates, x -> {total} / (length(x.m) - 1) >= {least_ratio})" if ratios else "filter(candidates, x -> false)")
-    mixed = F.filter("candidates", lambda x: _mixed(x["m"]))
+    mixed = F.filter("candidates", lambda x: x["m"].rlike(f"^{CANDIDATE}$") & ~x["m"].rlike(_BASE) & _mixed(x["m"]))
     return found.withColumn("candidates", mixed).select("doc_id", "assign", "access", "hex", likely.alias("markov"))
 
 

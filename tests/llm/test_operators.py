@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -207,6 +208,68 @@ def test_markov_models_learn_from_all_documents(spark):
         assert got[True, hashlib.sha1(str(k).encode()).hexdigest()] == 2  # by the assignment and as a hex run
 
 
+def _keyless(rng: random.Random, n: int) -> str:
+    while True:
+        found = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+        if _mixed_enough(found):
+            return found
+
+
+def _mixed_enough(value: str) -> bool:
+    return bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value)) and not re.search("[0-9a-f]{16}|AKIA", value)
+
+
+ORDINARY = ["customer_address_line_2", "invoice_2024_customer_list", "articles/2024/05/weather-report", "internationalization2", "getCustomerAddressById", "release-candidate-3-notes"]
+
+
+def _secret_corpus(spark, rng: random.Random):
+    plain = ["customer", "address", "invoice", "articles", "weather", "report", "release", "candidate", "international", "organization", "getCustomerName"]
+    prose = [(k, " ".join(rng.choice(plain) + rng.choice(["", "-", "_"]) + rng.choice(plain) for _ in range(60)) + f" token={_keyless(rng, 24)}") for k in range(200)]
+    hidden = [(1000 + k, f"see {_keyless(rng, rng.randint(24, 40))} here") for k in range(100)]
+    known = [(2000 + k, f"my_production_secret: {_keyless(rng, 24)} and prefix_token={_keyless(rng, 30)}") for k in range(30)]
+    usual = [(3000 + k, f"see {w} here") for k, w in enumerate(ORDINARY)]
+    return spark.createDataFrame(prose + hidden + known + usual, "doc_id long, text string")
+
+
+def test_models_add_secrets_without_a_keyword(spark):
+    docs = _secret_corpus(spark, random.Random(51))
+    rows = secrets.report(secrets.scan(docs, secrets.log_ratios(secrets.labelled(docs)))).collect()
+    added = {r["doc_id"]: r["n_markov"] for r in rows}
+    assert sum(added[1000 + k] for k in range(100)) >= 95
+    assert all(n == 0 for i, n in added.items() if i >= 2000 or i < 1000)
+    assert all(r["n_assign"] == 2 for r in rows if 2000 <= r["doc_id"] < 3000)
+
+
+def test_a_very_long_run_is_scored_in_time(spark):
+    rng = random.Random(52)
+    run = "".join(rng.choice("ABCDEFGHijklmnopqrst+/0123456789") for _ in range(5_000_000))
+    docs = spark.createDataFrame([(1, f"data {run} end")], "doc_id long, text string")
+    ratios = [0.0] * (128 * 128)
+    began = time.monotonic()
+    got = secrets.scan(docs, ratios, least_ratio=-1.0).select("markov.start", "markov.end").collect()
+    assert [tuple(map(tuple, r)) for r in got] == [((5,), (5_000_005,))]
+    assert time.monotonic() - began < 30
+
+
+def test_repeated_words_against_repeated_words(spark):
+    docs = spark.createDataFrame([(1, "zero " * 20_000), (2, "zero " * 9), (3, "one " * 3)], "doc_id long, text string")
+    items = spark.createDataFrame([("a", "zero " * 2_000), ("b", "zero " * 12), ("c", "one one")], "item_id string, text string")
+    began = time.monotonic()
+    got = decontamination.report(decontamination.contaminated_words(docs, items)).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["n_hit"], r["n_items"]) for r in got] == [(20_000, 20_000, 2), (9, 0, 0), (3, 3, 1)]
+    assert time.monotonic() - began < 10
+
+
+def test_blocks_of_items_on_repeated_rows(spark):
+    rng = random.Random(53)
+    passages = [sentence(rng, 30) for _ in range(6)]
+    rows = [(7, passages[0] + " and " + passages[3])] * 2000 + [(k, sentence(rng, 20) + " " + passages[k % 6]) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(f"i{k}", p) for k, p in enumerate(passages)], "item_id string, text string")
+    one, many = (decontamination.report(decontamination.contaminated_words(docs, items, block_words=w)) for w in (1 << 20, 40))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+
+
 def test_no_markov_spans_without_samples_of_a_kind(spark):
     text = "see invoice_2024_customer_list and /articles/2024/05/weather-report of customer_address_line_2 yesterday"
     clean = "customers reported articles about yesterday's weather-report and customer_address with invoice_list"
