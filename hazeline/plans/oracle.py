@@ -131,8 +131,8 @@ def _band(value: str, part: str) -> str:
 # -- documents ------------------------------------------------------------------------------------
 
 
-def _documents(d: Dataset, where: str = "true") -> str:
-    """Hourly rows of the intact documents."""
+def _documents(d: Dataset, where: str = "true", table: str = "events", named: str = "ts") -> str:
+    """Hourly rows of the intact documents; ``named`` is the time in the file name."""
     steps = "[" + ", ".join(str(i) for i in range(HOURS)) + "]"
     lists = ", ".join(
         f"list_transform({steps}, lambda i: {SCALES[f].format(v='value + i')})"
@@ -147,18 +147,18 @@ def _documents(d: Dataset, where: str = "true") -> str:
     select cast(element1 as timestamp) as forecast_timestamp_local, {_typed(d, source)},
            cast({LATITUDE} as double) as latitude, cast({LONGITUDE} as double) as longitude,
            raw_file_name, event_id
-    from (select {_path(d)} as raw_file_name, event_id,
+    from (select {_path(d, named)} as raw_file_name, event_id,
                  unnest(list_zip({times}, {lists}), recursive := true)
-          from events where event_type in ({_types(d)}) and {where})"""
+          from {table} where event_type in ({_types(d)}) and {where})"""
 
 
-def _silver(d: Dataset, where: str = "true") -> str:
+def _silver(d: Dataset, where: str = "true", table: str = "events", named: str = "ts") -> str:
     return f"""
     select forecast_timestamp_local, cast(forecast_timestamp_local as date) as forecast_date_local,
            {', '.join(d.metric_columns)},
            split_part(replace(raw_file_name, '.json', ''), '_raw_', 2) as ingest_time_utc,
            '{d.source_system}' as source_system, latitude, longitude, raw_file_name, event_id
-    from ({_documents(d, where)})"""
+    from ({_documents(d, where, table, named)})"""
 
 
 def _verdicts(d: Dataset) -> str:
@@ -194,13 +194,28 @@ AQI_OK = "user_id % 10 > 5"
 WEATHER_OK = "(user_id % 10 > 5 or user_id % 10 = 4)"
 
 
-def _nulled_weather() -> str:
-    silver = _silver(WEATHER, WEATHER_OK)
+def _nulled_weather(source: str = "events", named: str = "ts") -> str:
+    silver = _silver(WEATHER, WEATHER_OK, source, named)
     nulled = ", ".join(
         f"case when e.user_id % 10 <> 4 then s.{c} end as {c}" for c in WEATHER.metric_columns
     )
     return f"""
-    select s.* replace ({nulled}) from ({silver}) s join events e on s.event_id = e.event_id"""
+    select s.* replace ({nulled}) from ({silver}) s join {source} e on s.event_id = e.event_id"""
+
+
+# Documents in two landings, every third once more with other contents; the last landing of a path counts.
+# Feeds never share a path, and no two documents of one path land at the same moment.
+LANDINGS = """
+    landings as (
+        select event_id, event_type, user_id, value, ts, ts as named from events
+        union all
+        select event_id, event_type, user_id + 3, value + 10, ts + to_hours(2), ts
+        from events where event_id % 3 = 0),
+    last_landings as (
+        select * from landings
+        qualify row_number() over (
+            partition by event_type in ('purchase', 'signup'), date_trunc('second', named)
+            order by ts desc) = 1)"""
 
 
 def _scan(d: Dataset) -> str:
@@ -445,6 +460,9 @@ ORACLE: dict[str, str] = {
     "silver_aqi": _silver(AQI),
     "silver_weather": _silver(WEATHER),
     "stream_silver": f"select * exclude (event_id) from ({_silver(AQI, AQI_OK)})",
+    "stream_to_mart": f"""
+        with {LANDINGS}, a as ({_silver(AQI, AQI_OK, 'last_landings', 'named')}),
+        w as ({_nulled_weather('last_landings', 'named')}) {_mart('a', 'w')}""",
     "ingest_time_parse": f"""{WITH_FEEDS}
         select event_id, raw_file_name,
                split_part(replace(raw_file_name, '.json', ''), '_raw_', 2) as ingest_time_utc,
@@ -475,6 +493,7 @@ ORACLE: dict[str, str] = {
     "bronze_to_gold": f"""
         with a as ({_silver(AQI, AQI_OK)}), w as ({_nulled_weather()}) {_mart('a', 'w')}""",
     "materialize_mart": f"{WITH_MART} select * from mart",
+    "catalog_mart": f"{WITH_MART} select * from mart",
     "dq_not_null": f"{WITH_MART} {_union(NOT_NULL)}",
     "dq_unique": f"{WITH_MART} "
     + _union(
@@ -501,6 +520,14 @@ ORACLE: dict[str, str] = {
         select * exclude (record_key) replace (
             cast(null as double) as temperature_c, cast(null as double) as relative_humidity,
             cast(null as double) as wind_speed_kph) from mart""",
+    "mart_scan_mixed": f"""{WITH_MART}
+        select * exclude (record_key) replace (
+            case when forecast_date_local >= date '2024-01-16' then temperature_c end as temperature_c,
+            case when forecast_date_local >= date '2024-01-16' then relative_humidity end
+                as relative_humidity,
+            case when forecast_date_local >= date '2024-01-16' then wind_speed_kph end as wind_speed_kph)
+        from mart""",
+    "stored_window": f"{WITH_MART} select {HOURLY} from mart where {_in_window(*WINDOW)}",
     "date_window": f"{WITH_MART} select {HOURLY} from mart where {_in_window(*WINDOW)}",
     "single_date": f"{WITH_MART} select {HOURLY} from mart where {_in_window(WINDOW[0], WINDOW[0])}",
     "daily_summary": f"{WITH_MART} {_daily()}",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +29,17 @@ from hazeline.sources.bronze import (
     read_document_tree,
     read_landing,
 )
-from hazeline.sources.tables import load_hourly, write_model
+from hazeline.sources.tables import (
+    MART,
+    has_mart,
+    load_hourly,
+    read_stored,
+    served_columns,
+    write_model,
+    write_table,
+)
 from hazeline.specs import AQI, DATE, FILE, HOUR, INGEST_TOKEN, METRIC_LABELS, WEATHER
+from hazeline.streaming.mart import stream_mart, streamed_mart
 from hazeline.streaming.silver import stream_silver
 
 TIE_BREAK = ("event_id",)
@@ -40,6 +49,8 @@ BY_USER = ("user_id", HOUR)
 AQI_MAX = 300
 NOW = datetime(2024, 1, 31, 0, 30)
 WINDOW = (date(2024, 1, 10), date(2024, 1, 16))
+# Dates before this one are stored without weather columns where drift is asked for.
+WEATHER_SINCE = date(2024, 1, 16)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,6 +211,33 @@ def stream_silver_query(spark, sf_dir):
     return spark.read.parquet(target).drop("ingest_date", "landed_at_utc")
 
 
+def landed_again(source: DataFrame, dataset) -> DataFrame:
+    """Every third document once more, two hours later: other hours, other readings, other defects."""
+    later = F.lit(timedelta(hours=2))
+    third = source.where(F.col("event_id") % 3 == 0)
+    changed = third.select(
+        "event_id",
+        "event_type",
+        (F.col("ts") + later).alias("ts"),
+        (F.col("user_id") + 3).alias("user_id"),
+        (F.col("value") + 10).alias("value"),
+    )
+    first = F.col("landed_at_utc") - later
+    docs = documents(changed, dataset, defects=True)
+    docs = docs.withColumn(FILE, object_path(first, dataset.name, FILE_PREFIX))
+    return docs.withColumn("ingest_date", first.cast("date"))
+
+
+def stream_to_mart(spark, sf_dir):
+    """The mart a stream keeps over two landings, the second of which replaces documents of the first."""
+    root, source = scratch_path(spark, "mart-in"), events(spark, sf_dir)
+    house, state = scratch_path(spark, "mart-out"), scratch_path(spark, "mart-state")
+    for docs in (partial(documents, defects=True), landed_again):
+        land_documents(docs(source, AQI).unionByName(docs(source, WEATHER)), root)
+        stream_mart(spark, root, house, state).awaitTermination()
+    return streamed_mart(spark, house)
+
+
 # -- versions and gold --------------------------------------------------------------------------
 
 
@@ -236,6 +274,29 @@ def materialize_mart(spark, sf_dir):
     return write_model(mart(spark, sf_dir), scratch_path(spark, "mart"), (DATE,))
 
 
+def catalog_mart(spark, sf_dir):
+    """The mart as a partitioned table, found in the catalog and read by its name."""
+    write_table(mart(spark, sf_dir), MART, path=scratch_path(spark, "catalog"))
+    if not has_mart(spark):
+        raise RuntimeError(f"{MART} is not in the catalog")
+    return spark.table(MART)
+
+
+def mart_scan_mixed(spark, sf_dir):
+    """A stored mart whose older dates have no weather columns, in one read."""
+    gold, path = mart(spark, sf_dir), scratch_path(spark, "mixed")
+    older = F.col(DATE) < F.lit(WEATHER_SINCE)
+    write_model(gold.where(older).drop(*WEATHER.metric_columns), path)
+    gold.where(~older).write.mode("append").partitionBy(DATE).parquet(path)
+    return naive(load_hourly(read_stored(spark, path)), "last_ingested_at_utc")
+
+
+def stored_window(spark, sf_dir):
+    """A window of dates from the stored mart; the other dates' folders are not read."""
+    stored = write_model(mart(spark, sf_dir), scratch_path(spark, "window"))
+    return naive(serving.date_window(served_columns(stored), *WINDOW), "last_ingested_at_utc")
+
+
 # -- checks -------------------------------------------------------------------------------------
 
 
@@ -367,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "silver_aqi": partial(silver_rows, dataset=AQI),
     "silver_weather": partial(silver_rows, dataset=WEATHER),
     "stream_silver": stream_silver_query,
+    "stream_to_mart": stream_to_mart,
     "ingest_time_parse": ingest_time_parse,
     "cast_round_int": cast_round_int,
     "datediff_hour": datediff_hour,
@@ -381,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "gold_mart_by_user": partial(mart, keys=BY_USER),
     "bronze_to_gold": bronze_to_gold,
     "materialize_mart": materialize_mart,
+    "catalog_mart": catalog_mart,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,
@@ -392,6 +455,8 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     "mart_scan": mart_scan,
     "mart_scan_backfill": mart_scan_backfill,
+    "mart_scan_mixed": mart_scan_mixed,
+    "stored_window": stored_window,
     "date_window": partial(serve, serving.date_window, start=WINDOW[0], end=WINDOW[1]),
     "single_date": partial(serve, serving.single_date, day=WINDOW[0]),
     "daily_summary": partial(serve, serving.daily_summary),

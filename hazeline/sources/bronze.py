@@ -59,7 +59,7 @@ def latest_landing(landed: DataFrame, order: Sequence[Column] = ()) -> DataFrame
     are ranked. Whether the list of those paths is broadcast is left to Spark. Documents without a path
     are all kept.
     """
-    newest = list(order) or [F.col("landed_at_utc").desc_nulls_last(), F.col("payload").desc()]
+    newest = list(order) or [F.col("landed_at_utc").desc_nulls_last(), F.md5("payload").desc_nulls_last()]
     counts = landed.groupBy(FILE).agg(F.count(F.lit(1)).alias("_n"))
     repeated = counts.where((F.col("_n") > 1) & F.col(FILE).isNotNull()).select(FILE)
     once = landed.join(repeated, FILE, "left_anti")

@@ -25,9 +25,12 @@ def write_model(df: DataFrame, path: str, partition_by: Sequence[str] = (DATE,))
     return stored.select(*df.columns)
 
 
-def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (DATE,)) -> None:
-    """Replace the catalog table ``name``."""
-    _full_refresh(df, partition_by).format("parquet").saveAsTable(name)
+def write_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (DATE,), path: str | None = None
+) -> None:
+    """Replace the catalog table ``name``, stored at ``path`` or else in the warehouse."""
+    writer = _full_refresh(df, partition_by).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def _full_refresh(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
@@ -54,6 +57,15 @@ def has_model(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored model whose files may differ in columns, as older and newer writers left them.
+
+    One read with the columns of all files, nulls where a file lacks one. Spark merges the schemas in a job over the
+    footers; filters on partition columns still prune folders.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def load_hourly(mart: DataFrame) -> DataFrame:
     """The mart as served, in order of the hour."""
     place = [F.col(c).asc_nulls_last() for c in ("latitude", "longitude")]
