@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from hazeline.plans.feeds import FILE_PREFIX, HOURS, LATITUDE, LONGITUDE
-from hazeline.plans.queries import AQI_MAX, NOW, WINDOW
-from hazeline.specs import (
-    ABOVE_ALL_BANDS,
-    AQI,
-    AQI_BANDS,
-    METRIC_LABELS,
-    NO_BAND,
-    WEATHER,
-    Dataset,
+from hazeline.specs import AQI, METRIC_LABELS, WEATHER, Dataset
+
+# fixed values: written out, not taken from the code they check
+FILE_PREFIX = "feed_raw"
+HOURS = 4
+LATITUDE, LONGITUDE = 13.75, 100.5
+AQI_MAX = 300
+NOW = "2024-01-31 00:30:00"
+STALE_AFTER_SECONDS = 7200
+WINDOW = ("2024-01-10", "2024-01-16")
+# upper bound, label, color, advisory; the last two rows are above all bounds and no value
+BANDS = (
+    (50, "Good", "#2E8540", "Air quality is considered satisfactory."),
+    (100, "Moderate", "#D4A017", "Acceptable for most people, with minor risk for sensitive groups."),
+    (
+        150,
+        "Unhealthy for Sensitive Groups",
+        "#E67E22",
+        "Sensitive groups should limit prolonged outdoor exertion.",
+    ),
+    (200, "Unhealthy", "#C0392B", "Everyone may begin to experience health effects."),
+    (
+        300,
+        "Very Unhealthy",
+        "#7D3C98",
+        "Health alert conditions; outdoor activity should be reduced.",
+    ),
+    (
+        "above",
+        "Hazardous",
+        "#6E2C00",
+        "Emergency conditions; avoid outdoor activity where possible.",
+    ),
+    ("none", "Unknown", "#5C6770", "AQI data is not available for this selection."),
 )
 
 # SQL for a document field, given the event value.
@@ -119,12 +141,13 @@ def _daily(keys: str = "") -> str:
 
 
 def _band(value: str, part: str) -> str:
-    arms = " ".join(
-        f"when {value} <= {upper} then '{getattr(band, part)}'" for upper, band in AQI_BANDS
-    )
+    place = ("upper", "label", "color", "advisory").index(part)
+    text = {band[0]: f"'{band[place]}'" for band in BANDS}
+    above, none = text.pop("above"), text.pop("none")
+    arms = " ".join(f"when {value} <= {upper} then {shown}" for upper, shown in text.items())
     return (
-        f"case when {value} is null or isnan(cast({value} as double)) then '{getattr(NO_BAND, part)}' "
-        f"{arms} else '{getattr(ABOVE_ALL_BANDS, part)}' end"
+        f"case when {value} is null or isnan(cast({value} as double)) then {none} "
+        f"{arms} else {above} end"
     )
 
 
@@ -404,10 +427,9 @@ def _in_window(start, end) -> str:
 
 
 def _fresh(key: str) -> str:
-    limit = int(timedelta(hours=2).total_seconds())
     return f"""
     select {key}, max(ts) as last_ingested_at_utc,
-           coalesce(timestamp '{NOW}' - max(ts) > to_seconds({limit}), true) as is_stale
+           coalesce(timestamp '{NOW}' - max(ts) > to_seconds({STALE_AFTER_SECONDS}), true) as is_stale
     from events group by {key}"""
 
 
