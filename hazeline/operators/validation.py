@@ -33,7 +33,7 @@ def parse_valid_documents(
 ) -> DataFrame:
     """Documents that pass, with ``latitude, longitude, hourly`` in place of the text.
 
-    Checking and reading share one parse. A reading that is no number is an error.
+    Checking and reading share one parse; what passed can be cast.
     """
     good = _judged(docs, dataset, payload).where(F.col("_verdict.verdict") == OK)
     kept = [c for c in docs.columns if c != payload]
@@ -63,7 +63,7 @@ def _judged(docs: DataFrame, dataset: Dataset, payload: str) -> DataFrame:
 
     def judge(doc: Column) -> Column:
         hourly = doc["hourly"]
-        verdict = _bind(_lengths(hourly), lambda n: _verdict(hourly, n, text, dataset))[0]
+        verdict = _bind(_lengths(hourly), lambda n: _verdict(doc, n, text, dataset))[0]
         return F.struct(verdict.alias("_verdict"), doc.alias("_doc"))
 
     return docs.select("*", F.inline(_bind(F.from_json(text, DOCUMENT), judge)))
@@ -80,7 +80,8 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)
 
 
-def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset) -> Column:
+def _verdict(doc: Column, lengths: Column, payload: Column, dataset: Dataset) -> Column:
+    hourly = doc["hourly"]
     section = F.get_json_object(payload, "$.hourly")
     # JSON texts of a section that is there but holds nothing.
     blank = ("{}", "[]", "", "0", "false")
@@ -104,6 +105,11 @@ def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset)
         present = F.exists(hourly[field], lambda v: v.isNotNull())
         has_value = has_value | F.coalesce(present, F.lit(False))
 
+    odd = _no_number("double", doc["latitude"]) | _no_number("double", doc["longitude"])
+    for reading in dataset.readings:
+        some = F.exists(hourly[reading.field], _odd(reading.type))
+        odd = odd | F.coalesce(some, F.lit(False))
+
     title = dataset.title
     rules = [
         ("unreadable", unreadable, F.lit(f"{title} is not a JSON object.")),
@@ -125,6 +131,7 @@ def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset)
                 F.lit(f"{title} does not contain any non-null AQI metrics."),
             )
         )
+    rules.append(("invalid_readings", odd, F.lit(f"{title} contains readings or coordinates that are no numbers.")))
     first, *rest = rules
     choice = F.when(first[1], _reason(first[0], first[2]))
     for name, failed, detail in rest:
@@ -132,5 +139,18 @@ def _verdict(hourly: Column, lengths: Column, payload: Column, dataset: Dataset)
     return choice.otherwise(_reason(OK, F.lit(None).cast("string")))
 
 
+def _no_number(type_name: str, text: Column) -> Column:
+    """Is there a text that cannot become a number of that type?"""
+    number = text.try_cast("double")
+    fits = number.isNotNull()
+    if type_name == "int":
+        fits = fits & number.between(-2147483648, 2147483647)  # false for NaN, the greatest of all
+    return text.isNotNull() & ~fits
+
+
+def _odd(type_name: str) -> Callable[[Column], Column]:
+    return lambda text: _no_number(type_name, text)
+
+
 def _reason(name: str, detail: Column) -> Column:
     return F.struct(F.lit(name).alias("verdict"), detail.alias("detail"))

@@ -54,6 +54,13 @@ CASES = [
     (AQI, aqi(time=[], pm2_5=[], pm10=[], us_aqi=[]), "empty", "no hourly rows"),
     (AQI, aqi(time=5), "ragged_arrays", "different lengths"),
     (AQI, aqi(extra=["x"]), "ok", None),
+    (AQI, aqi(pm2_5=["x"]), "invalid_readings", "that are no numbers"),
+    (AQI, aqi(pm2_5=["12.5"], us_aqi=[None]), "ok", None),
+    (AQI, aqi(us_aqi=[3e9]), "invalid_readings", "that are no numbers"),
+    (AQI, aqi() | {"latitude": "north"}, "invalid_readings", "coordinates"),
+    (AQI, aqi() | {"latitude": None, "longitude": 100.5}, "ok", None),
+    (AQI, aqi(pm2_5=["x"], time=["soon"]), "invalid_timestamps", "timestamps"),
+    (WEATHER, weather(wind_speed_10m=[True]), "invalid_readings", "Weather payload contains readings"),
     (WEATHER, weather(), "ok", None),
     (
         WEATHER,
