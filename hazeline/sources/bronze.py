@@ -55,16 +55,20 @@ def read_landing(spark: SparkSession, root: str, dataset: Dataset | None = None)
 def latest_landing(landed: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """One document per object path: a path landed again replaces what was there.
 
-    Repeats are rare, so the paths are counted first, without payloads; only documents of repeated paths
-    are ranked. Whether the list of those paths is broadcast is left to Spark. Documents without a path
-    are all kept.
+    The last landing of every repeated path is found on rows without payloads and hashed; documents stream past it,
+    so no task sorts payloads or holds more of them than the last ones of its repeated paths. Exact copies of a last
+    landing become one. Documents without a path are all kept.
     """
     newest = list(order) or [F.col("landed_at_utc").desc_nulls_last(), F.md5("payload").desc_nulls_last()]
     counts = landed.groupBy(FILE).agg(F.count(F.lit(1)).alias("_n"))
     repeated = counts.where((F.col("_n") > 1) & F.col(FILE).isNotNull()).select(FILE)
-    once = landed.join(repeated, FILE, "left_anti")
-    again = landed.join(repeated, FILE, "left_semi")
-    return once.unionByName(latest_version(again, [FILE], newest))
+    content = F.struct(*[c for c in landed.columns if c not in (FILE, "payload")], F.sha2("payload", 256))
+    again = landed.join(repeated.hint("shuffle_hash"), FILE, "left_semi")
+    last = latest_version(again, [FILE], newest).select(F.col(FILE).alias("_file"), content.alias("_last"))
+    seen = landed.join(last.hint("shuffle_hash"), F.col(FILE) == F.col("_file"), "left")
+    once = seen.where(F.col("_file").isNull())
+    kept = seen.where(F.col("_file").isNotNull() & content.eqNullSafe(F.col("_last")))
+    return once.select(*landed.columns).unionByName(kept.select(*landed.columns).distinct())
 
 
 def land_tree(

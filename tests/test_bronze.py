@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazeline.operators.quality import DataQualityError
 from hazeline.operators.validation import valid_documents
@@ -345,3 +346,34 @@ def test_streamed_rows_of_a_file_landed_again_equal_the_batch(spark, tmp_path):
     assert rows(gold_mart(current_rows(streamed), weather)) == rows(batch)
     assert rows(gold_mart(streamed, weather)) == rows(batch)
     assert batch.agg({"us_aqi": "min"}).first()[0] == 40
+
+
+def test_last_landings_are_found_without_sorting_payloads(spark, tmp_path):
+    noon, one = datetime(2026, 3, 24, 12), datetime(2026, 3, 24, 13)
+    day = noon.date()
+    docs = [
+        ("a", "old", noon, "aqi", day),
+        *[("a", "new", one, "aqi", day)] * 3,
+        ("b", "only", noon, "aqi", day),
+        ("c", "x", noon, "aqi", day),
+        ("c", None, one, "weather", day),
+        (None, "n", noon, "aqi", day),
+        (None, "n", noon, "aqi", day),
+    ]
+    root = str(tmp_path / "landing")
+    bronze.land_documents(spark.createDataFrame(docs, bronze.LANDING_SCHEMA), root)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        last = bronze.latest_landing(bronze.read_landing(spark, root))
+        assert "SortMergeJoin" not in plan_of(last)
+        assert rows(last.select("raw_file_name", "payload")) == rows(
+            spark.createDataFrame(
+                [("a", "new"), ("b", "only"), ("c", None), (None, "n"), (None, "n")],
+                "raw_file_name string, payload string",
+            )
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    first = bronze.latest_landing(bronze.read_landing(spark, root), [F.col("landed_at_utc").asc()])
+    assert rows(first.where("raw_file_name in ('a', 'c')").select("payload")) == [("old",), ("x",)]
