@@ -1,9 +1,10 @@
 """Landed documents to the mart, micro-batch by micro-batch, rewriting only the dates a batch touches.
 
-Below ``warehouse`` lie the silver rows of every landing (``rows_<feed>``, by date and batch) and the marks of
-both feeds (``marks``, by day of the file and batch): one row per landed document, valid or not, and one per
-date it states. Both only grow, so a batch that is run again after a failure finds all it needs and writes
-the same. A path landed again counts with its last landing, as in a batch build: hours that the later document
+Below ``warehouse`` lie the silver rows of every landing (``rows_<feed>``, by month of the date and batch, sorted
+by date) and the marks of both feeds (``marks``, by month of the file's day and batch): one row per landed
+document, valid or not, and one per date it states. Both only grow, so a batch that is run again after a failure
+finds all it needs and writes the same. Only the mart has a folder per date: listing and writing folders costs
+more than reading the rows of a month, of which the sorted files skip most. A path landed again counts with its last landing, as in a batch build: hours that the later document
 leaves out go, and all of them go where it does not pass validation.
 """
 
@@ -18,17 +19,21 @@ from pyspark.sql.streaming import StreamingQuery
 from hazeline.functions.paths import ingest_token
 from hazeline.plans.gold import gold_mart
 from hazeline.plans.silver import silver_from_landing
+from hazeline.session import cut_lineage
 from hazeline.sources.bronze import LANDING_SCHEMA
 from hazeline.sources.tables import MART
 from hazeline.specs import AQI, DATE, FILE, HOUR, INGEST_TOKEN, MART_COLUMNS, WEATHER, Dataset
 
 BATCH = "batch"
-FILE_DAY = "file_day"
+MONTH = "month"
+FILE_MONTH = "file_month"
 # What tells landings of one path apart, the last one being the greatest.
 LANDING = ("landed_at_utc", "payload_md5")
+# Dates of the mart that one task writes, each a folder of its own; by bytes alone one task would write them all.
+TASK_DATES = 50
 MARKS_SCHEMA = (
     f"dataset string, {FILE} string, landed_at_utc timestamp_ntz, payload_md5 string, "
-    f"{DATE} date, {FILE_DAY} date, {BATCH} bigint"
+    f"{DATE} date, {FILE_MONTH} date, {BATCH} bigint"
 )
 
 
@@ -64,16 +69,18 @@ def refresh_mart(
     Touched are the dates a document of the batch states and those that earlier landings of its path stated.
     Only lists of calendar days come to the driver; they prune the folders that are read and written.
     """
-    marked = docs.withColumn("payload_md5", F.md5("payload")).withColumn(FILE_DAY, _file_day())
+    marked = docs.withColumn("payload_md5", F.md5("payload")).withColumn(FILE_MONTH, _file_month())
     _store_batch(spark, marked, number, warehouse)
     days = _touched(spark, number, warehouse)
     aqi, weather = (_current(spark, feed, days, warehouse) for feed in (AQI, WEATHER))
+    # Stored, as it is read twice; it is small beside the rows of both feeds.
+    mart = cut_lineage(gold_mart(aqi, weather, keys), "mart")
     # A date that lost all its hours is overwritten by one row without an hour, which readers skip.
     emptied = spark.createDataFrame([(day,) for day in days], f"{DATE} date").join(
-        aqi.select(DATE).distinct(), DATE, "left_anti"
+        mart.select(DATE).distinct(), DATE, "left_anti"
     )
-    mart = gold_mart(aqi, weather, keys).unionByName(emptied, allowMissingColumns=True)
-    _replace_partitions(mart, f"{warehouse}/{MART}", DATE)
+    dated = mart.unionByName(emptied, allowMissingColumns=True)
+    _replace_partitions(dated, f"{warehouse}/{MART}", DATE, tasks=-(-len(days) // TASK_DATES))
 
 
 def streamed_mart(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -85,21 +92,21 @@ def streamed_mart(spark: SparkSession, warehouse: str) -> DataFrame:
 def _store_batch(spark: SparkSession, docs: DataFrame, number: int, warehouse: str) -> None:
     batch = F.lit(number).cast("bigint").alias(BATCH)
     mark = ("dataset", FILE, *LANDING)
-    marks = docs.select(*mark, F.lit(None).cast("date").alias(DATE), FILE_DAY, batch)
+    marks = docs.select(*mark, F.lit(None).cast("date").alias(DATE), FILE_MONTH, batch)
     for feed in (AQI, WEATHER):
         mine = docs.where(F.col("dataset") == feed.name)
-        rows = silver_from_landing(mine, feed, (*LANDING, FILE_DAY)).select("*", batch)
-        _replace_partitions(rows, _rows_path(feed, warehouse), DATE, BATCH)
+        rows = silver_from_landing(mine, feed, (*LANDING, FILE_MONTH)).select("*", _month(DATE).alias(MONTH), batch)
+        _replace_partitions(rows, _rows_path(feed, warehouse), MONTH, BATCH, within=(DATE,))
         stored = _rows(spark, feed, warehouse).where(F.col(BATCH) == number)
         stated = stored.withColumn("dataset", F.lit(feed.name)).select(*marks.columns).distinct()
         marks = marks.unionByName(stated)
-    _replace_partitions(marks, _marks_path(warehouse), FILE_DAY, BATCH)
+    _replace_partitions(marks, _marks_path(warehouse), FILE_MONTH, BATCH)
 
 
 def _touched(spark: SparkSession, number: int, warehouse: str) -> list:
     marks = _marks(spark, warehouse)
     new = marks.where(F.col(BATCH) == number)
-    earlier = marks.where(_on_days(FILE_DAY, _days(new, FILE_DAY)) & (F.col(BATCH) != number))
+    earlier = marks.where(_on_days(FILE_MONTH, _days(new, FILE_MONTH)) & (F.col(BATCH) != number))
     again = earlier.join(new.select(FILE).distinct(), FILE, "left_semi")
     dates = new.select(DATE).unionByName(again.select(DATE)).where(F.col(DATE).isNotNull())
     return sorted(_days(dates, DATE))
@@ -107,18 +114,23 @@ def _touched(spark: SparkSession, number: int, warehouse: str) -> list:
 
 def _current(spark: SparkSession, feed: Dataset, days: list, warehouse: str) -> DataFrame:
     """Silver rows of the last landing of every path, on the given dates; rows without a path all stay."""
-    rows = _rows(spark, feed, warehouse).where(F.col(DATE).isin(days))
-    marks = _marks(spark, warehouse).where(_on_days(FILE_DAY, _days(rows, FILE_DAY)))
+    months = sorted({day.replace(day=1) for day in days})
+    rows = _rows(spark, feed, warehouse).where(F.col(MONTH).isin(months) & F.col(DATE).isin(days))
+    marks = _marks(spark, warehouse).where(_on_days(FILE_MONTH, _days(rows, FILE_MONTH)))
     last = marks.where((F.col("dataset") == feed.name) & F.col(FILE).isNotNull())
     last = last.groupBy(F.col(FILE).alias("_file")).agg(F.max(F.struct(*LANDING)).alias("_last"))
     landing = F.struct(*[rows[c] for c in LANDING])
     replaced = (rows[FILE] == last["_file"]) & ~landing.eqNullSafe(last["_last"])
-    return rows.join(last, replaced, "left_anti").drop(*LANDING, FILE_DAY, BATCH)
+    return rows.join(last, replaced, "left_anti").drop(*LANDING, FILE_MONTH, MONTH, BATCH)
 
 
-def _file_day() -> Column:
-    """Day in the name of a file, the same for every landing of its path; null if there is none."""
-    return F.try_to_date(F.substring(ingest_token(F.col(FILE)), 1, 8), "yyyyMMdd")
+def _file_month() -> Column:
+    """First day of the month in the name of a file, the same for every landing of its path; null if there is none."""
+    return _month(F.try_to_date(F.substring(ingest_token(F.col(FILE)), 1, 8), "yyyyMMdd"))
+
+
+def _month(day: str | Column) -> Column:
+    return F.trunc(day, "month")
 
 
 def _days(df: DataFrame, column: str) -> list:
@@ -130,9 +142,14 @@ def _on_days(column: str, days: list) -> Column:
     return known | F.col(column).isNull() if None in days else known
 
 
-def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Write ``df`` in place of the stored partitions it has rows for."""
-    writer = df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite")
+def _replace_partitions(df: DataFrame, path: str, *by: str, within: Sequence[str] = (), tasks: int = 1) -> None:
+    """Write ``df`` in place of the stored partitions it has rows for, files sorted by the ``within`` columns.
+
+    Spark sizes the tasks by bytes, unless more than one is asked for.
+    """
+    columns = [F.col(c) for c in by]
+    dealt = df.repartition(tasks, *columns) if tasks > 1 else df.hint("rebalance", *columns)
+    writer = (dealt.sortWithinPartitions(*by, *within) if within else dealt).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
@@ -153,7 +170,7 @@ def _rows(spark: SparkSession, feed: Dataset, warehouse: str) -> DataFrame:
     schema = (
         f"{HOUR} timestamp_ntz, {DATE} date, {readings}, {INGEST_TOKEN} string, source_system string, "
         f"latitude double, longitude double, {FILE} string, landed_at_utc timestamp_ntz, "
-        f"payload_md5 string, {FILE_DAY} date, {BATCH} bigint"
+        f"payload_md5 string, {FILE_MONTH} date, {MONTH} date, {BATCH} bigint"
     )
     return spark.read.schema(schema).parquet(_rows_path(feed, warehouse))
 

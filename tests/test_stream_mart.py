@@ -112,3 +112,16 @@ def test_ties_repeats_missing_paths_and_empty_batches(spark, tmp_path):
     nameless = landing(AQI, EARLY, payload(AQI, "2026-03-28", 2, 10), NOON, file=False)
     refresh_mart(spark, spark.createDataFrame([nameless], LANDING_SCHEMA), 9, house)
     assert streamed_mart(spark, house).where(F.col(HOUR) >= "2026-03-28").count() == 2
+
+
+def test_rows_and_marks_have_a_folder_per_month(spark, tmp_path):
+    house = str(tmp_path / "house")
+    days = [date(2026, 3, d) for d in range(2, 20)]
+    docs = [landing(AQI, f"{d:%Y%m%d}T010000Z", payload(AQI, str(d), 2, d.day), NOON) for d in days]
+    refresh_mart(spark, spark.createDataFrame(docs, LANDING_SCHEMA), 0, house)
+    again = landing(AQI, "20260305T010000Z", payload(AQI, "2026-03-05", 1, 90), ONE)
+    refresh_mart(spark, spark.createDataFrame([again], LANDING_SCHEMA), 1, house)
+    for name in (f"rows_{AQI.name}", "marks"):
+        assert len({f.parent for f in (tmp_path / "house" / name).rglob("*.parquet")}) == 2  # one per batch
+    got = rows(streamed_mart(spark, house).groupBy(DATE).count())
+    assert got == [(d, 1 if d.day == 5 else 2) for d in days]
