@@ -20,6 +20,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ _UNUSUAL = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "<|")
 #: Letters whose lower case is one letter, whatever stands around them, and signs that may follow a word: the
 #: tokenizer takes both apart in any case.
 _WORD_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_TOKEN_ID = attrgetter("id")
 _KNOWN: dict[str, tuple[object, dict[str, bytes], dict[str, bytes]]] = {}
 
 
@@ -101,7 +103,7 @@ def _learn(tokenizer, known: dict[str, bytes], parts: dict[str, bytes], new: set
         ids = parts.get(word)
         if ids is None:
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
-            ids = parts[word] = array("I", [t.id for t in merges(letters)]).tobytes()
+            ids = parts[word] = array("I", map(_TOKEN_ID, merges(letters))).tobytes()
         if signs:
             if signs not in parts:
                 _ask(tokenizer, parts, [signs])
@@ -114,26 +116,21 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit values."""
     tokenizer, known, parts = _tokenizer(path)
     split: list[list | None] = []
-    found: list[list | None] = []
-    new = set()
+    seen = set()
     for text in texts:
         if any(x in text for x in _UNUSUAL):
             split.append(None)
-            found.append(None)
             continue
         words = (text if text.isascii() else unicodedata.normalize("NFC", text)).split()
-        ids = list(map(known.get, words))
-        if None in ids:
-            new.update([w for w, x in zip(words, ids, strict=True) if x is None])
+        seen.update(words)
         split.append(words)
-        found.append(ids)
-    _learn(tokenizer, known, parts, new)
+    _learn(tokenizer, known, parts, seen.difference(known))
     out = []
-    for text, words, ids in zip(texts, split, found, strict=True):
+    for text, words in zip(texts, split, strict=True):
         if words is None:
             out.append(np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
         else:
-            out.append(b"".join([known[w] for w in words] if None in ids else ids))
+            out.append(b"".join(map(known.__getitem__, words)))
     return out
 
 
