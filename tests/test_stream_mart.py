@@ -125,3 +125,13 @@ def test_rows_and_marks_have_a_folder_per_month(spark, tmp_path):
         assert len({f.parent for f in (tmp_path / "house" / name).rglob("*.parquet")}) == 2  # one per batch
     got = rows(streamed_mart(spark, house).groupBy(DATE).count())
     assert got == [(d, 1 if d.day == 5 else 2) for d in days]
+
+
+def test_many_dates_are_written_by_several_tasks(spark, tmp_path):
+    root, house = str(tmp_path / "landing"), str(tmp_path / "house")
+    days = [date(2026, m, d) for m in (1, 3, 5) for d in range(1, 25)]
+    docs = [landing(AQI, f"{d:%Y%m%d}T010000Z", payload(AQI, str(d), 2, d.day), NOON) for d in days]
+    land(spark, root, *docs)
+    refresh_mart(spark, spark.createDataFrame(docs, LANDING_SCHEMA), 0, house)
+    got = rows(streamed_mart(spark, house))
+    assert got == rows(batch_mart(spark, root)) and len(got) == 2 * len(days)
