@@ -16,14 +16,14 @@ from __future__ import annotations
 import heapq
 import os
 import re
-import unicodedata
 import zlib
-from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
-from operator import attrgetter
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,111 +36,195 @@ END_ID = 2
 PIECE_TOKENS = 1024
 #: Pieces that are differenced together.
 BATCH_PIECES = 1024
-#: Words whose ids a worker remembers between tasks.
-CACHE_WORDS = 700_000
-#: Words that ask the tokenizer for their ids together.
-ASK_WORDS = 2048
-
-# fixed values: characters that only one of split() and the tokenizer's rule takes for white space, and the
-# beginning of its special strings
-_UNUSUAL = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "<|")
-#: Letters whose lower case is one letter, whatever stands around them, and signs that may follow a word: the
-#: tokenizer takes both apart in any case.
-_WORD_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
-_TOKEN_ID = attrgetter("id")
-_KNOWN: dict[str, tuple[object, dict[str, bytes], dict[str, bytes]]] = {}
-
-
-def _tokenizer(path: str):
-    """The tokenizer with what this worker has learned: ids of words as they stand, and of their parts."""
-    if path not in _KNOWN:
-        from tokenizers import Tokenizer
+#: Bytes of units and their ids that a worker remembers between tasks.
+CACHE_BYTES = 32 << 20
+#: Bytes of units that ask the tokenizer for their ids together.
+ASK_BYTES = 4096
+#: Bytes of text whose units are looked up together.
+STRETCH_BYTES = 8 << 20
+
+# fixed values: kinds of bytes. Letters, digits and signs are those the tokenizer takes apart in any case; a word with
+# any other byte is left to it whole: an apostrophe, "|" of its special strings, characters beyond Latin letters.
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[9:14] = _KIND[32] = _SPACE
+_KIND[33:127] = _SIGN
+_KIND[48:58] = _DIGIT
+_KIND[65:91] = _KIND[97:123] = _KIND[0xC3] = _LETTER
+_KIND[[39, 124]] = _ODD
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Second bytes after 0xC3: which are letters, and their lower case.
+_SECOND = np.zeros(256, bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_SECOND_LOWER = np.arange(256, dtype=np.uint8)
+_SECOND_LOWER[0x80:0x9F] += 32
+_LETTERS_ONLY = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_KNOWN: dict[str, _Tokenizer] = {}
+
+
+class _Tokenizer:
+    """The tokenizer, its merges alone, which ids end a word, and the ids of units a worker has met so far."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _KNOWN[path] = (Tokenizer.from_file(path), {}, {})
-    tokenizer, known, parts = _KNOWN[path]
-    for held in (known, parts):
-        if len(held) > CACHE_WORDS:
-            held.clear()
-    return tokenizer, known, parts
-
-
-def _ask(tokenizer, held: dict[str, bytes], new: list[str]) -> None:
-    """Ids as little-endian bytes; what is asked together is joined by spaces, which no token crosses."""
-    for low in range(0, len(new), ASK_WORDS):
-        some = new[low : low + ASK_WORDS]
-        encoding = tokenizer.encode(" ".join(some), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4").tobytes()
-        begin = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
-        ends = np.cumsum([len(w) + 1 for w in some])
-        at = 0
-        for word, cut in zip(some, (4 * np.searchsorted(begin, ends)).tolist(), strict=True):
-            held[word] = ids[at:cut]
-            at = cut
-
-
-def _byte_letters() -> dict[int, int]:
-    """The letter that stands for each byte in the vocabulary: itself if printable, else the next one from 256 on."""
+        self.whole = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.whole.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[k for token, k in vocab.items() if token.endswith("</w>")]] = True
+        self.units = self.ids = pa.array([], pa.large_binary())
+
+    def ids_of(self, units: pa.Array) -> pa.Array:
+        """Ids of distinct units as little-endian bytes."""
+        if self.units.nbytes + self.ids.nbytes > CACHE_BYTES:
+            self.units = self.ids = pa.array([], pa.large_binary())
+        at = np.array(pc.fill_null(pc.index_in(units, value_set=self.units), -1))
+        new = at < 0
+        if new.any():
+            at[new] = len(self.units) + np.arange(new.sum())
+            units = units.filter(pa.array(new))
+            self.ids = pa.concat_arrays([self.ids, self._learned(units.to_pylist())])
+            self.units = pa.concat_arrays([self.units, units])
+        return self.ids.take(pa.array(at))
+
+    def _learned(self, units: list[bytes]) -> pa.Array:
+        """What is asked together is joined by spaces, which no token crosses; plain letters go to the merges directly."""
+        plain = np.array([u.isalpha() or _LETTERS_ONLY.fullmatch(u) is not None for u in units], bool)
+        found = []
+        asked = list(_asked(list(compress(units, plain))))
+        for low in range(0, len(asked), 32):
+            texts = [charmap_decode(b" ".join(some), "strict", _LETTERS)[0] for some in asked[low : low + 32]]
+            for encoding in self.merges.encode_batch_fast(texts, add_special_tokens=False):
+                ids = np.array(encoding.ids, "<u4")
+                found.append(_binary(ids.view(np.uint8), 4 * np.flatnonzero(self.last[ids]) + 4))
+        for some in _asked(list(compress(units, ~plain))):
+            texts = [u.decode() for u in some]
+            encoding = self.whole.encode(" ".join(texts), add_special_tokens=False)
+            begin = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
+            ends = np.searchsorted(begin, np.cumsum([len(t) + 1 for t in texts]))
+            found.append(_binary(np.array(encoding.ids, "<u4").view(np.uint8), 4 * ends))
+        order = np.argsort(~plain, kind="stable")
+        return pa.concat_arrays(found).take(pa.array(np.argsort(order)))
+
+
+def _tokenizer(path: str) -> _Tokenizer:
+    if path not in _KNOWN:
+        _KNOWN[path] = _Tokenizer(path)
+    return _KNOWN[path]
+
+
+def _asked(units: list[bytes]) -> Iterator[list[bytes]]:
+    """The units in runs of about ``ASK_BYTES``, one at least."""
+    ends = np.cumsum([len(u) + 1 for u in units], dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // ASK_BYTES, append=-1)) + 1
+    for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=False):
+        yield units[low:high]
+
+
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Values that lie one behind the other."""
+    bounds = np.append(0, ends).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def _byte_letters() -> str:
+    """The letter that stands for each byte in the vocabulary: itself if printable, else the next one from 256 on.
+
+    The space, which parts words here, stays.
+    """
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
-    return {b: 256 + k for k, b in enumerate(rest)}
+    return "".join(chr(b if b in plain or b == 32 else 256 + rest.index(b)) for b in range(256))
 
 
 _LETTERS = _byte_letters()
 
 
-def _learn(tokenizer, known: dict[str, bytes], parts: dict[str, bytes], new: set[str]) -> None:
-    """Ids of words not seen before, from their parts; parts of plain letters go to the merges directly."""
-    merges = tokenizer.model.tokenize
-    odd = []
-    for w in new:
-        m = _WORD_AND_SIGNS.fullmatch(w)
-        if not m:
-            odd.append(w)
-            continue
-        word, signs = m.groups()
-        word = word.lower()
-        ids = parts.get(word)
-        if ids is None:
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
-            ids = parts[word] = array("I", map(_TOKEN_ID, merges(letters))).tobytes()
-        if signs:
-            if signs not in parts:
-                _ask(tokenizer, parts, [signs])
-            ids += parts[signs]
-        known[w] = ids
-    _ask(tokenizer, known, odd)
+def _units(data: np.ndarray, rows: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """What the tokenizer takes apart before any merge, and the number of the first unit of each of ``rows``.
+
+    Runs of letters, lowered, single digits and runs of signs; words with odd bytes as they stand.
+    """
+    kind, low = _KIND[data], _LOWER[data]
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[_SECOND[data[second]]]
+    kind[second] = _LETTER
+    low[second] = _SECOND_LOWER[data[second]]
+    inside = kind != _SPACE
+    word = np.ones(len(data), bool)
+    word[1:] = ~inside[:-1]
+    word[rows[rows < len(data)]] = True
+    rows = np.append(0, np.cumsum(inside, dtype=np.int32))[rows]
+    kind, low, word = kind[inside], low[inside], word[inside]
+    start = kind == _DIGIT
+    start[1:] |= kind[1:] != kind[:-1]
+    start |= word
+    odd = np.flatnonzero(kind == _ODD)
+    if len(odd):
+        begins = np.append(np.flatnonzero(word), len(kind))
+        found = np.unique(np.searchsorted(begins, odd, side="right") - 1)
+        at = common.spread(begins[found], begins[found + 1] - begins[found])
+        start[at], low[at] = False, data[inside][at]
+        start[begins[found]] = True
+    at = np.flatnonzero(start)
+    return _binary(low, np.append(at[1:], len(low))[: len(at)]), np.searchsorted(at, rows)
+
+
+def _stretches(data: np.ndarray, bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``limit`` bytes that end with a row or before white space."""
+    first = 0
+    while first < len(data):
+        at, last = first + limit, None
+        while last is None:
+            row = int(bounds[min(np.searchsorted(bounds, at), len(bounds) - 1)])
+            spaces = np.flatnonzero(_KIND[data[at : at + limit]] == _SPACE)
+            if len(spaces):
+                last = min(row, at + int(spaces[0]))
+            elif row <= at + limit:
+                last = row
+            at += limit
+        yield first, last
+        first = last
+
+
+def token_ids(texts: pa.Array, path: str, limit: int = STRETCH_BYTES) -> Iterator[bytes]:
+    """Token ids of each text as little-endian unsigned 32-bit values; worked on in stretches of ``limit`` bytes."""
+    tokenizer = _tokenizer(path)
+    data, bounds = common.text_bytes(texts)
+    places, found, total = np.zeros(len(bounds), np.int64), [], 0
+    for first, last in _stretches(data, bounds, limit):
+        low, high = np.searchsorted(bounds, [first, last])
+        if last == len(data):
+            high = len(bounds)
+        units, rows = _units(data[first:last], bounds[low:high] - first)
+        coded = units.dictionary_encode()
+        ids = tokenizer.ids_of(coded.dictionary).take(coded.indices)
+        held, starts = common.text_bytes(ids)
+        places[low:high] = total + starts[rows]
+        total += len(held)
+        found.append(held.tobytes())
+    whole = b"".join(found)
+    for k in range(len(texts)):
+        yield whole[places[k] : places[k + 1]]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit values."""
-    tokenizer, known, parts = _tokenizer(path)
-    split: list[list | None] = []
-    seen = set()
-    for text in texts:
-        if any(x in text for x in _UNUSUAL):
-            split.append(None)
-            continue
-        words = (text if text.isascii() else unicodedata.normalize("NFC", text)).split()
-        seen.update(words)
-        split.append(words)
-    _learn(tokenizer, known, parts, seen.difference(known))
-    out = []
-    for text, words in zip(texts, split, strict=True):
-        if words is None:
-            out.append(np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-        else:
-            out.append(b"".join(map(known.__getitem__, words)))
-    return out
+    """Token ids of each text of a list."""
+    return list(token_ids(pa.array(texts, pa.string()), path))
 
 
 def _cut(path: str, capacity: int, piece_tokens: int, end_id: int, with_ids: bool) -> Callable:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, limit=STRETCH_BYTES):
             row, start, length, crc, total, kept = [], [], [], [], [], []
-            for k, ids in enumerate(token_bytes(batch.column("text").to_pylist(), path)):
+            for k, ids in enumerate(token_ids(batch.column("text"), path)):
                 ids += end
                 n, at = len(ids) // 4, 0
                 while at < n:
