@@ -275,11 +275,15 @@ def materialize_mart(spark, sf_dir):
 
 
 def catalog_mart(spark, sf_dir):
-    """The mart as a partitioned table, found in the catalog and read by its name."""
-    write_table(mart(spark, sf_dir), MART, path=scratch_path(spark, "catalog"))
-    if not has_mart(spark):
-        raise RuntimeError(f"{MART} is not in the catalog")
-    return spark.table(MART)
+    """The mart as a partitioned table, found in the catalog and read by its name.
+
+    The table has a name of its own; a mart that the catalog holds already stays as it is.
+    """
+    name = f"{MART}_query"
+    write_table(mart(spark, sf_dir), name, path=scratch_path(spark, "catalog"))
+    if not has_mart(spark, name):
+        raise RuntimeError(f"{name} is not in the catalog")
+    return spark.table(name)
 
 
 def mart_scan_mixed(spark, sf_dir):

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeline.operators.serving import date_window
-from hazeline.sources.tables import has_mart, load_hourly, read_stored, write_model, write_table
+from hazeline.plans.queries import QUERIES
+from hazeline.sources.tables import MART, has_mart, load_hourly, read_stored, write_model, write_table
 from hazeline.specs import DATE, HOUR, HOURLY_COLUMNS, MART_COLUMNS, WEATHER
+from tests.compare import DATA
 from tests.conftest import frame, rows
 
 DDL = (
@@ -63,6 +65,20 @@ def test_catalog_table_is_found_replaced_and_pruned(spark, gold, tmp_path):
     assert not has_mart(spark, name)
 
 
+def test_catalog_query_leaves_the_mart_alone(spark, gold):
+    small = DATA / "sf0.001"
+    if not small.exists():
+        pytest.skip("no test data here")
+    try:
+        write_table(gold.limit(1), MART)
+        assert QUERIES["catalog_mart"](spark, str(small)).count() > 1
+        assert spark.table(MART).count() == 1
+    finally:
+        spark.sql(f"drop table if exists {MART}")
+    QUERIES["catalog_mart"](spark, str(small))
+    assert not has_mart(spark)
+
+
 def test_a_window_reads_only_the_files_of_its_dates(spark, gold, tmp_path):
     stored = write_model(gold, str(tmp_path / "mart"))
     window = date_window(stored, date(2026, 3, 4), date(2026, 3, 6))
